@@ -1,9 +1,8 @@
 """Exact de-duplication by a log-structured merge index, with DataFrame functions only.
 
 1. *Memtables*: every row is keyed by the SHA-256 of its normalised text. A memtable is the
-   digest -> (best rank, rows) map of the rows whose id hashes to one run; Spark builds it with
-   map-side partial aggregation, so a digest that a third of all rows share reaches it as one row
-   per map task.
+   digest -> (best rank, rows) map of ``memtable_rows`` rows on average, dealt by a hash of the row
+   rather than of the digest, so a digest that a third of all rows share loads no memtable more.
 2. *Flush*: each memtable is written as a run sorted by digest. Parquet keeps minima and maxima
    and a Bloom filter of the digests with each run, so a probe for a digest skips runs and row groups.
 3. *Compaction* merges the runs into one level: the smallest rank and the row count of each digest.
@@ -22,6 +21,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, written
 
 NO_ID = -(2**63) + 1
+#: Bloom filters as large as the digests in a file need.
+FILTERS = {"parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
 
 def normalised(text: Column) -> Column:
@@ -32,23 +33,29 @@ def sha256_digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def flush_runs(keyed: DataFrame, runs: int) -> DataFrame:
-    """Write one run for each memtable, sorted by digest, with Bloom filters."""
+def flush_runs(keyed: DataFrame, memtable_rows: int) -> DataFrame:
+    """Write one run for each memtable, sorted by digest, with Bloom filters.
+
+    A row's run is drawn from a hash of its id and raw text, so memtables are even whatever the digests are.
+    """
+    runs = keyed.count() // memtable_rows + 1
     memtables = (
-        keyed.groupBy(F.pmod(F.xxhash64("id"), F.lit(runs)).cast("int").alias("run"), "digest")
+        keyed.withColumn("run", F.pmod(F.xxhash64("id", "raw", "salt"), F.lit(runs)).cast("int"))
+        .repartition(runs, "run")
+        .groupBy("run", "digest")
         .agg(F.min("rank").alias("rank"), F.count(F.lit(1)).alias("n"))
         .sortWithinPartitions("run", "digest")
     )
-    return written(memtables, "lsm-run", ("run",), **{"parquet.bloom.filter.enabled#digest": "true"})
+    return written(memtables, "lsm-run", ("run",), **FILTERS)
 
 
 def compact(runs: DataFrame) -> DataFrame:
     """Merge sorted runs into one level: a row for each digest with its smallest rank and its rows."""
     merged = runs.groupBy("digest").agg(F.min("rank").alias("best"), F.sum("n").alias("n")).sortWithinPartitions("digest")
-    return written(merged, "lsm-level", **{"parquet.bloom.filter.enabled#digest": "true"})
+    return written(merged, "lsm-level", **FILTERS)
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", digest=sha256_digest, runs: int = 4, hits_per_salt: int = 2048) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", digest=sha256_digest, memtable_rows: int = 65_536, hits_per_salt: int = 2048) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. ``keep`` says
@@ -63,10 +70,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rank = F.coalesce(F.lit(sign) * F.col("id"), F.lit(-NO_ID))
     keyed = written(
-        rows.select("id", F.xxhash64("text").alias("raw"), digest(text).alias("digest"), rank.alias("rank"), F.sha2(text, 256).alias("sha")),
+        rows.select("id", F.xxhash64("text").alias("raw"), digest(text).alias("digest"), rank.alias("rank"), F.sha2(text, 256).alias("sha"), F.monotonically_increasing_id().alias("salt")),
         "lsm-keys",
     )
-    level = compact(flush_runs(keyed, runs))
+    level = compact(flush_runs(keyed, memtable_rows))
     members = keyed.join(level, "digest")  # two shuffled tables: adaptive execution splits a hot digest's rows
     several = members.filter("n > 1")
     salts = F.ceil(F.col("n") / hits_per_salt).cast("int")
