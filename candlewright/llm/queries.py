@@ -6,16 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import encode_documents
 from .common import table
 from .exact_dedup import exact_dedup
 
 
+#: Name of the tokenizer's vocabulary file; its folder comes from the installed vocabulary package.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_exact_dedup,)}
+    return {f.__name__: f for f in (op1_bpe, op10_exact_dedup)}
 
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
