@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import table
 from .exact_dedup import exact_dedup
+from .simhash import simhash_components
 
 
 #: Name of the tokenizer's vocabulary file; its folder comes from the installed vocabulary package.
@@ -25,12 +26,16 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op10_exact_dedup)}
 
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
