@@ -11,6 +11,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .quality import quality_rules
 from .simhash import simhash_components
+from .warc import warc_roundtrip
 
 
 #: Name of the tokenizer's vocabulary file; its folder comes from the installed vocabulary package.
@@ -31,6 +32,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_roundtrip(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,12 +45,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op7_quality_rules, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_warc, op7_quality_rules, op10_exact_dedup)}
 
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op4_warc": """
+        WITH t AS (SELECT page_id, sha256(coalesce(html, '')) AS h, strlen(coalesce(html, '')) AS n FROM pages)
+        SELECT page_id, n AS payload_bytes, h AS payload_digest,
+               CASE WHEN n >= 100 AND page_id > min(page_id) OVER g THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND page_id > min(page_id) OVER g THEN min(page_id) OVER g END AS refers_to
+        FROM t WINDOW g AS (PARTITION BY h)""",
     "op10_exact_dedup": f"""
         WITH t AS (SELECT doc_id, sha256({LOWERED}) AS h FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
