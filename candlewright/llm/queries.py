@@ -11,6 +11,8 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .quality import quality_rules
 from .simhash import simhash_components
+from .toxicity import fit as fit_toxicity
+from .toxicity import toxicity
 from .warc import warc_roundtrip
 
 
@@ -36,6 +38,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_roundtrip(table(spark, sf_dir, "pages"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,7 +52,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_warc, op7_quality_rules, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_warc, op5_toxicity, op7_quality_rules, op10_exact_dedup)}
 
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
