@@ -20,6 +20,7 @@ and a word costs a table look-up per subsequence.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -122,7 +123,7 @@ def spread(words: list[str], most: int) -> list[str]:
     return [words[i] for i in picked]
 
 
-def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 60, seed: int = 7) -> np.ndarray:
+def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 120, seed: int = 7) -> np.ndarray:
     """Linear SVM by dual coordinate descent; the last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w, alpha, norm = np.zeros(x.shape[1]), np.zeros(len(x)), (x * x).sum(axis=1)
@@ -157,11 +158,26 @@ def platt(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-3)), float(b)
 
 
-def train(rows: list[tuple[int, str | None, int]], landmarks: int = 192, hard: int = 800, rounds: int = 3) -> dict:
+def distinct_bags(bags: list[tuple[int, set[str]]]) -> list[tuple[int, set[str]]]:
+    """Without near copies of earlier bags (half of the least word hashes shared): copies aren't independent evidence."""
+    seen: dict[int, list[int]] = {}
+    out = []
+    for y, bag in bags:
+        sketch = sorted(zlib.crc32(w.encode()) for w in bag)[:16]
+        shared = Counter(k for h in sketch for k in seen.get(h, ()))
+        if sketch and shared and 2 * max(shared.values()) >= len(sketch):
+            continue
+        for h in sketch:
+            seen.setdefault(h, []).append(len(out))
+        out.append((y, bag))
+    return out
+
+
+def train(rows: list[tuple[int, str | None, int]], landmarks: int = 400, hard: int = 800, rounds: int = 3) -> dict:
     """The model of labelled (doc_id, text, toxic) rows: weights, bias, a, b. Without both labels nothing is toxic."""
     rows = sorted(rows, key=lambda r: r[0])
     strip = lambda bag: {w for x in bag if len(w := x.strip(EDGES)) > 2}
-    bags = [(i % 10 < 7, y, strip(units(t))) for i, (_, t, y) in enumerate(rows)]
+    bags = [(i % 10 < 7, y, u) for i, (y, u) in enumerate(distinct_bags([(y, strip(units(t))) for _, t, y in rows]))]
     fit_pos = [u for part, y, u in bags if part and y and u]
     fit_neg = [u for part, y, u in bags if part and not y]
     model = {"weights": np.zeros(1 << BITS, np.float32), "bias": FLOOR, "a": 1.0, "b": -3.0}
@@ -173,7 +189,7 @@ def train(rows: list[tuple[int, str | None, int]], landmarks: int = 192, hard: i
     tried = Counter(toxic[w] for w in toxic if not clean[w])
     sure = lambda w: -toxic[w] * np.log10(rate) - np.log10(sum(n for k, n in tried.items() if k >= toxic[w]) + 1)
     tied = sorted((w for w in toxic if not clean[w]), key=lambda w: (-toxic[w], w))
-    seeds = [w for w in tied if sure(w) > 1.3] or tied[:8]
+    seeds = [w for w in tied if sure(w) > 2] or tied[:8]
     if not seeds:
         return model
     vocabulary = sorted(set(toxic) | set(clean))
@@ -182,10 +198,11 @@ def train(rows: list[tuple[int, str | None, int]], landmarks: int = 192, hard: i
     negatives = sorted(set(common) | set(pool[:: max(1, len(pool) // hard)]))
     positives, worst = seeds, []
     for _ in range(rounds):
-        points = positives[: landmarks // 4] + spread(positives[landmarks // 4 :], landmarks // 2) + worst[: landmarks // 4] + spread(common, landmarks // 4)
+        half = positives[: landmarks // 4] + spread(positives[landmarks // 4 :], landmarks // 4)
+        points = half + worst[: landmarks // 4] + spread(common, landmarks // 4)
         at = explicit(points)
         values, vectors = np.linalg.eigh((at @ at.T).astype(float))
-        good = values > 1e-6 * values.max()
+        good = values > 1e-3 * values.max()  # weaker directions are noise of single precision
         whiten = vectors[:, good] / np.sqrt(values[good])
         words = positives + [w for w in negatives if w not in set(positives)]
         y = np.where(np.arange(len(words)) < len(positives), 1.0, -1.0)
@@ -193,7 +210,7 @@ def train(rows: list[tuple[int, str | None, int]], landmarks: int = 192, hard: i
         model |= {"weights": ((whiten @ w[:-1]) @ at).astype(np.float32), "bias": float(w[-1])}
         value = dict(zip(vocabulary, weigh(vocabulary, model["weights"], model["bias"]).tolist()))
         witnesses = {max(u, key=lambda x: (value[x], x)) for u in fit_pos}
-        positives = seeds + sorted(k for k in witnesses - set(seeds) if value[k] > 0 and not clean[k])
+        positives = seeds + sorted(k for k in witnesses - set(seeds) if value[k] > 0.6 and not clean[k] and toxic[k] > 1)
         worst = sorted(pool, key=lambda x: (-value[x], x))[:hard]
         negatives = sorted(set(negatives) | set(worst))
     rest = [(y, u) for part, y, u in bags if not part] or [(y, u) for _, y, u in bags]
