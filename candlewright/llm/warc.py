@@ -76,13 +76,13 @@ def archive(pages: DataFrame, path: str | None = None, date: str = "1970-01-01T0
         .select("page_id", "payload_digest", "payload_bytes", "record_type", "refers_to", "url")
     )
     records.select("page_id", "payload_digest", header(date).alias("header")).write.parquet(f"{path}/records", compression="zstd")
-    owners = groups.select("payload_digest", "first", F.lit(True).alias("own"))
-    held = pages.select(F.col("page_id").cast("bigint").alias("first"), html.alias("payload")).withColumn("payload_digest", F.sha2("payload", 256))
-    # one row for each digest: its least page; rows that repeat that page with that payload collapse
-    payloads = held.join(owners.filter("first IS NOT NULL"), ["first", "payload_digest"], "left_semi")
-    payloads = payloads.dropDuplicates(["payload_digest"]).select("payload_digest", F.encode("payload", "UTF-8").alias("payload"))
-    orphans = held.filter("first IS NULL").join(owners.filter("first IS NULL"), "payload_digest", "left_semi").dropDuplicates(["payload_digest"]).select("payload_digest", F.encode("payload", "UTF-8").alias("payload"))
-    payloads.unionByName(orphans).write.parquet(f"{path}/payloads", compression="zstd")
+    # one row for each digest: that of its least page; a null id counts as the least number. Rows that repeat that page with
+    # that payload collapse where the join has put them, so payloads are shuffled once
+    owner = lambda c: F.coalesce(c, F.lit(-(2**63))).alias("owner")
+    owners = groups.select("payload_digest", owner(F.col("first"))).hint("shuffle_hash")
+    held = pages.select(owner(F.col("page_id").cast("bigint")), html.alias("payload")).withColumn("payload_digest", F.sha2("payload", 256))
+    payloads = held.join(owners, ["owner", "payload_digest"], "left_semi").dropDuplicates(["owner", "payload_digest"])
+    payloads.select("payload_digest", F.encode("payload", "UTF-8").alias("payload")).write.parquet(f"{path}/payloads", compression="zstd")
     return path
 
 
