@@ -11,6 +11,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .langid import fit as fit_languages
 from .langid import language
+from .mixing import mix
 from .quality import quality_rules
 from .simhash import simhash_components
 from .toxicity import fit as fit_toxicity
@@ -49,6 +50,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emitted = mix(table(spark, sf_dir, "documents"))
+    return emitted.select("doc_id", "source", *(c for c in emitted.columns if c.startswith("mix_")))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language(docs, fit_languages(docs))
@@ -59,7 +65,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_warc, op5_toxicity, op7_quality_rules, op9_language_id, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_warc, op5_toxicity, op7_quality_rules, op8_mixing, op9_language_id, op10_exact_dedup)}
 
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
