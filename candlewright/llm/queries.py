@@ -11,7 +11,9 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .langid import fit as fit_languages
 from .langid import language
+from .licenses import scan_licenses
 from .mixing import mix
+from .preference import neighbours, preference_pairs
 from .quality import quality_rules
 from .simhash import simhash_components
 from .toxicity import fit as fit_toxicity
@@ -33,6 +35,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_pairs(neighbours(table(spark, sf_dir, "conversations")))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -46,6 +52,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,12 +75,30 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_simhash_near_dedup, op4_warc, op5_toxicity, op7_quality_rules, op8_mixing, op9_language_id, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_chat_preference, op3_simhash_near_dedup, op4_warc, op5_toxicity, op6_license_scan, op7_quality_rules, op8_mixing, op9_language_id, op10_exact_dedup)}
 
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op2_chat_preference": """
+        WITH t AS (SELECT conv_id // 2 AS pair_id, CASE WHEN conv_id % 2 = 0 THEN 'c' ELSE 'r' END AS side, turn,
+                          min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS said
+                   FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+        x AS (SELECT *, '<|im_start|>' || said.role || chr(10) || said.text || '<|im_end|>' || chr(10) AS whole,
+                     length('<|im_start|>' || said.role) + 1 AS a, length(said.text) + 11 AS b FROM t),
+        y AS (SELECT *, CASE WHEN said.role = 'assistant' THEN a || '-' || b || '+' ELSE (a + b) || '-' END AS mask FROM x),
+        s AS (SELECT pair_id, min(turn) FILTER (WHERE n < 2 OR lo <> hi) AS split, bool_or(c) AS c, bool_or(r) AS r
+              FROM (SELECT pair_id, turn, count(*) AS n, min(said) AS lo, max(said) AS hi, bool_or(side = 'c') AS c, bool_or(side = 'r') AS r
+                    FROM t GROUP BY ALL) GROUP BY pair_id)
+        SELECT pair_id,
+               count(*) FILTER (WHERE side = 'c' AND (split IS NULL OR turn < split)) AS n_prompt_turns,
+               coalesce(string_agg(whole, '' ORDER BY turn) FILTER (WHERE side = 'c' AND (split IS NULL OR turn < split)), '') AS prompt,
+               CASE WHEN any_value(c) THEN coalesce(string_agg(whole, '' ORDER BY turn) FILTER (WHERE side = 'c' AND turn >= split), '') END AS chosen,
+               CASE WHEN any_value(c) THEN coalesce(string_agg(mask, '' ORDER BY turn) FILTER (WHERE side = 'c' AND turn >= split), '') END AS chosen_mask,
+               CASE WHEN any_value(r) THEN coalesce(string_agg(whole, '' ORDER BY turn) FILTER (WHERE side = 'r' AND turn >= split), '') END AS rejected,
+               CASE WHEN any_value(r) THEN coalesce(string_agg(mask, '' ORDER BY turn) FILTER (WHERE side = 'r' AND turn >= split), '') END AS rejected_mask
+        FROM y JOIN s USING (pair_id) GROUP BY pair_id""",
     "op4_warc": """
         WITH t AS (SELECT page_id, sha256(coalesce(html, '')) AS h, strlen(coalesce(html, '')) AS n FROM pages)
         SELECT page_id, n AS payload_bytes, h AS payload_digest,
