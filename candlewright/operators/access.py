@@ -101,8 +101,8 @@ def as_of_defects(aligned: DataFrame, higher: DataFrame, name: str, clock: str =
     rows = higher.select("symbol", (F.row_number().over(in_time("symbol")) - 1).alias("i"), "close_time", F.lead("close_time").over(in_time("symbol")).alias("next_close"))
     first = rows.filter("i = 0").select("symbol", F.col("close_time").alias("first_close"))
     idx, when = F.col(f"{name}_idx"), F.col(f"{clock}_time")
-    r = rows.withColumnRenamed("close_time", "high_close")
-    j = aligned.join(r, (aligned["symbol"] == r["symbol"]) & (idx == r["i"]), "left").drop(r["symbol"]).join(first, "symbol", "left")
+    r = rows.withColumnsRenamed({"close_time": "high_close", "i": "_i"}).withColumn("i", F.col("_i"))
+    j = aligned.withColumn("_i", idx).join(r, ["symbol", "_i"], "left").join(first, "symbol", "left")
     step = idx - F.lag(idx).over(Window.partitionBy("symbol").orderBy("open_time"))
     return j.withColumn("step", step).agg(
         F.count_if(F.col("high_close") > when).alias("look_ahead"),

@@ -95,15 +95,17 @@ def peaks(numbered: DataFrame) -> DataFrame:
     dense = density(numbered).filter("touches > 0")
     reach = Window.partitionBy(*SERIES).orderBy("bin").rangeBetween(-PEAK_REACH, PEAK_REACH)
     key = F.struct("smoothed", "touches", "episodes", "months", "close_inside")
-    best = dense.withColumn("key", key).withColumn("top", F.max("key").over(reach)).filter("key = top")
-    # only bins that share the best key of a neighbourhood need their first touch
+    best = dense.withColumn("key", key).withColumn("top", F.max("key").over(reach)).filter("key = top").drop("top")
+    # bins around with the same key contend; only where there are several does the first touch decide
+    around = best.select(*SERIES, F.col("bin").alias("peak"), "key", F.explode(F.sequence(F.col("bin") - PEAK_REACH, F.col("bin") + PEAK_REACH)).alias("bin"))
+    rivals = around.join(dense.select(*SERIES, "bin", key.alias("own")), [*SERIES, "bin"]).filter("own = key").select(*SERIES, "peak", "bin")
+    several = rivals.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*SERIES, "peak"))).filter("n > 1")
     rows = binned(numbered).select(*SERIES, "klo", "khi", F.col("row").alias("first"))
-    near = best.withColumn("rivals", F.count(F.lit(1)).over(reach))
-    tied = near.filter("rivals > 1").select(*SERIES, "bin", F.floor(F.col("bin") / COARSE).alias("part"))
     spans = rows.withColumn("part", F.explode(F.sequence(F.floor(F.col("klo") / COARSE), F.floor(F.col("khi") / COARSE))))
+    tied = several.select(*SERIES, "bin", F.floor(F.col("bin") / COARSE).alias("part")).distinct()
     first = tied.join(spans, [*SERIES, "part"]).filter("bin BETWEEN klo AND khi").groupBy(*SERIES, "bin").agg(F.min("first").alias("first"))
-    rank = F.struct("key", (-F.coalesce("first", F.lit(0))).alias("f"), (-F.col("bin")).alias("b"))
-    kept = near.join(first, [*SERIES, "bin"], "left").withColumn("rank", rank).withColumn("winner", F.max("rank").over(reach)).filter("rank = winner")
+    lost = several.join(first, [*SERIES, "bin"]).groupBy(*SERIES, "peak").agg(F.min(F.struct("first", "bin")).alias("w")).filter("w.bin <> peak").select(*SERIES, F.col("peak").alias("bin"))
+    kept = best.join(lost, [*SERIES, "bin"], "left_anti")
     center = power(F.col("bin"))
     return kept.select(*SERIES, "bin", center.alias("center"), (center * (1 - HALF_ZONE)).alias("zone_lower"), (center * (1 + HALF_ZONE)).alias("zone_upper"), "touches", "episodes", "months", "close_inside", "smoothed")
 

@@ -80,7 +80,11 @@ class Engine:
         self.start: list[dict] = []
 
     def consume(self, p: dict, t: int) -> None:
-        if self.active is None:
+        if self.active is None and self.confirmed:
+            # after a confirmation only a pivot of the other side that is far enough off goes on
+            if p["side"] != self.confirmed[-1]["side"] and self.fits(self.confirmed[-1], p, t):
+                self.active = p
+        elif self.active is None:
             for q in self.start:
                 if q["side"] != p["side"] and self.fits(q, p, t):
                     self.confirmed.append(q | {"confirmed_row": t})
@@ -109,9 +113,6 @@ class Engine:
                     for x in held[k + 1 :]:
                         self.consume(x, t)
                     break
-            if self.active is None:
-                self.start = [done]
-                break
         return out
 
     def fits(self, a: dict, b: dict, t: int) -> bool:

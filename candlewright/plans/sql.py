@@ -87,7 +87,7 @@ BINNED = f"""
     edges AS (SELECT bin, pow(1.001, bin - 0.5) AS lo, pow(1.001, bin + 0.5) AS hi FROM g),
     hit AS (SELECT s.*, bin, s.close BETWEEN lo AND hi AS inside, lag(row) OVER (PARTITION BY timeframe, bin ORDER BY row) AS before FROM edges JOIN s ON s.high >= lo AND s.low <= hi),
     dens AS (SELECT symbol, timeframe, bin, count(*) AS touches, count(*) FILTER (WHERE before IS NULL OR before <> row - 1) AS episodes, count(*) FILTER (WHERE inside) AS close_inside, count(DISTINCT strftime(open_time, '%Y-%m')) AS months, min(row) AS first FROM hit GROUP BY ALL),
-    smooth AS (SELECT d.*, d.touches * 0.5 + coalesce(a.touches, 0) * 0.25 + coalesce(b.touches, 0) * 0.25 AS smoothed FROM dens d LEFT JOIN dens a ON a.timeframe = d.timeframe AND a.bin = d.bin - 1 LEFT JOIN dens b ON b.timeframe = d.timeframe AND b.bin = d.bin + 1),
+    smooth AS (SELECT d.*, CAST(d.touches * 0.5 + coalesce(a.touches, 0) * 0.25 + coalesce(b.touches, 0) * 0.25 AS DOUBLE) AS smoothed FROM dens d LEFT JOIN dens a ON a.timeframe = d.timeframe AND a.bin = d.bin - 1 LEFT JOIN dens b ON b.timeframe = d.timeframe AND b.bin = d.bin + 1),
     ranked AS (SELECT *, row(smoothed, touches, episodes, months, close_inside, -first, -bin) AS k FROM smooth),
     peak AS (SELECT a.symbol, a.timeframe, a.bin, pow(1.001, a.bin) AS center, pow(1.001, a.bin) * 0.999 AS zone_lower, pow(1.001, a.bin) * 1.001 AS zone_upper, a.touches, a.episodes, a.months, a.close_inside, a.smoothed
              FROM ranked a WHERE NOT EXISTS (SELECT 1 FROM ranked b WHERE b.timeframe = a.timeframe AND b.bin BETWEEN a.bin - 5 AND a.bin + 5 AND b.k > a.k))"""
