@@ -38,7 +38,7 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **opti
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.options(**options).parquet(path, partitionBy=list(partition_by) or None, compression="zstd")
-    return spark.read.schema(spark.read.parquet(path).schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -52,8 +52,8 @@ def fit_exponent(sizes: DataFrame, entropy_gain: float, most_epochs: float, roun
 
 
 def keyed(docs: DataFrame, seed: int) -> DataFrame:
-    """Rows with their source, tokens and document key."""
-    return docs.select("*", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("_source"), word_tokens(docs).alias("_tokens"), F.xxhash64("doc_id", F.lit(seed)).alias("_key"))
+    """Rows, packed as _row so that no name of theirs clashes, with their source, tokens and document key."""
+    return docs.select(F.struct("*").alias("_row"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("_source"), word_tokens(docs).alias("_tokens"), F.xxhash64("doc_id", F.lit(seed)).alias("_key"))
 
 
 def block_of(blocks, seed: int):
@@ -103,14 +103,14 @@ def mixing_plan(docs: DataFrame, entropy_gain: float = 0.5, most_epochs: float =
     return written(plan.drop("left").join(stops, "_source", "left"), "mix-result")
 
 
-def mix(docs: DataFrame, small: int = 100_000, seed: int = 1, **options) -> DataFrame:
+def mix(docs: DataFrame, small: int = 100_000, seed: int = 1, keys: bool = True, **options) -> DataFrame:
     """The rows of ``docs`` as often as mixing emits them, with epoch, block_key, document_key, tokens and weight.
 
     Ordering by (epoch, block_key, document_key) within a source gives its sequence. A null source is a source of its own; a
     null text has no tokens; repeated rows share their key, hence their fate; empty input gives no rows. Columns of ``docs``
-    keep their names and values; the added ones are prefixed ``mix_``.
+    keep their names and values. The added ones are prefixed ``mix_`` and stay away with ``keys=False``; columns of ``docs``
+    that have just those names give way to them.
     """
-    names = docs.columns
     plan = mixing_plan(docs, seed=seed, **options)
     plan = F.broadcast(plan) if plan.count() <= small else plan  # a row per source; beyond ``small`` a shuffled join
     rows = keyed(docs, seed).join(plan, "_source").withColumn("_block", block_of(F.col("blocks"), seed))
@@ -120,4 +120,7 @@ def mix(docs: DataFrame, small: int = 100_000, seed: int = 1, **options) -> Data
     epochs = F.when(copies > 0, F.sequence(F.lit(0).cast("bigint"), copies - 1))
     emitted = rows.select("*", F.explode(epochs).alias("_epoch"))
     epoch = F.col("_epoch")
-    return emitted.select(*names, epoch.alias("mix_epoch"), block_key(epoch, seed).alias("mix_block_key"), document_key(epoch, seed).alias("mix_document_key"), F.col("_tokens").alias("mix_tokens"), F.col("weight").alias("mix_weight"))
+    if not keys:
+        return emitted.select("_row.*")
+    added = {"mix_epoch": epoch, "mix_block_key": block_key(epoch, seed), "mix_document_key": document_key(epoch, seed), "mix_tokens": F.col("_tokens"), "mix_weight": F.col("weight")}
+    return emitted.select(*(F.col(f"_row.`{c}`") for c in docs.columns if c not in added), *(v.alias(k) for k, v in added.items()))

@@ -142,20 +142,28 @@ def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 120, seed:
 
 
 def platt(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """(a, b) of P = 1 / (1 + exp(-(a value + b))), by Newton steps on smoothed targets."""
+    """(a, b) of P = 1 / (1 + exp(-(a value + b))) on smoothed targets: Newton steps, halved until the loss falls."""
     pos, neg = y.sum(), len(y) - y.sum()
     t = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    a, b = 4.0, 0.0
+
+    def loss(a: float, b: float) -> float:
+        z = a * value + b
+        return float((np.logaddexp(0, z) - t * z).sum() + 5e-4 * a * a)
+
+    a, b = 0.0, float(np.log((pos + 1) / (neg + 1)))
+    now = loss(a, b)
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * value + b, -30, 30)))
-        g = np.array([((p - t) * value).sum() + 1e-3 * a, (p - t).sum() + 1e-6 * b])
+        p = 1 / (1 + np.exp(-np.clip(a * value + b, -500, 500)))
         s = p * (1 - p) + 1e-9
-        hess = np.array([[(s * value * value).sum() + 1e-3, (s * value).sum()], [(s * value).sum(), s.sum() + 1e-6]])
-        step = np.linalg.solve(hess, g)
-        a, b = a - np.clip(step[0], -2, 2), b - np.clip(step[1], -2, 2)
-        if abs(step).max() < 1e-6:
+        grad = np.array([((p - t) * value).sum() + 1e-3 * a, (p - t).sum()])
+        hess = np.array([[(s * value * value).sum() + 1e-3, (s * value).sum()], [(s * value).sum(), s.sum() + 1e-9]])
+        step, size = np.linalg.solve(hess, grad), 1.0
+        while size > 1e-6 and (new := loss(a - size * step[0], b - size * step[1])) > now:
+            size /= 2
+        if size <= 1e-6 or now - new < 1e-9 * max(1.0, abs(now)):
             break
-    return float(max(a, 1e-3)), float(b)
+        a, b, now = float(a - size * step[0]), float(b - size * step[1]), new
+    return max(a, 1e-3), b
 
 
 def distinct_bags(bags: list[tuple[int, set[str]]]) -> list[tuple[int, set[str]]]:
@@ -177,7 +185,7 @@ def train(rows: list[tuple[int, str | None, int]], landmarks: int = 400, hard: i
     """The model of labelled (doc_id, text, toxic) rows: weights, bias, a, b. Without both labels nothing is toxic."""
     rows = sorted(rows, key=lambda r: r[0])
     strip = lambda bag: {w for x in bag if len(w := x.strip(EDGES)) > 2}
-    bags = [(i % 10 < 7, y, u) for i, (y, u) in enumerate(distinct_bags([(y, strip(units(t))) for _, t, y in rows]))]
+    bags = [(zlib.crc32(str(i).encode()) % 10 < 7, y, u) for i, (y, u) in enumerate(distinct_bags([(y, strip(units(t))) for _, t, y in rows]))]
     fit_pos = [u for part, y, u in bags if part and y and u]
     fit_neg = [u for part, y, u in bags if part and not y]
     model = {"weights": np.zeros(1 << BITS, np.float32), "bias": FLOOR, "a": 1.0, "b": -3.0}
@@ -213,7 +221,9 @@ def train(rows: list[tuple[int, str | None, int]], landmarks: int = 400, hard: i
         positives = seeds + sorted(k for k in witnesses - set(seeds) if value[k] > 0.6 and not clean[k] and toxic[k] > 1)
         worst = sorted(pool, key=lambda x: (-value[x], x))[:hard]
         negatives = sorted(set(negatives) | set(worst))
-    rest = [(y, u) for part, y, u in bags if not part] or [(y, u) for _, y, u in bags]
+    rest = [(y, u) for part, y, u in bags if not part]
+    if len({y for y, _ in rest}) < 2:
+        rest = [(y, u) for _, y, u in bags]
     new = sorted(set().union(*(u for _, u in rest)))
     value = dict(zip(new, weigh(new, model["weights"], model["bias"]).tolist()))
     top = np.array([max(map(value.__getitem__, u), default=FLOOR) for _, u in rest])

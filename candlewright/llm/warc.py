@@ -27,7 +27,7 @@ SMALLEST_REVISIT = 100
 
 
 def record_id(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), page_id.cast("string"), F.lit(">"))
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
 
 
 def header(date: str) -> Column:
@@ -127,7 +127,7 @@ def write_warc_files(spark: SparkSession, path: str, to: str, records_per_file:
     whole.write.option("lineSep", END + END).option("maxRecordsPerFile", records_per_file).text(to)
 
 
-_id = re.compile(rb"<urn:page:(-?\d+)>")
+_id = re.compile(rb"\r\nWARC-Record-ID: <urn:page:(-?\d+)>\r\n")
 
 
 def parse_warc(data: bytes):

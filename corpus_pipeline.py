@@ -38,7 +38,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document comes once at least; those of smaller sources come up to twice."""
-    return mix(docs).select(docs.columns)
+    return mix(docs, keys=False)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
