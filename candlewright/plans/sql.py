@@ -193,6 +193,23 @@ ORACLES: dict[str, str] = {
               JOIN f ON f.symbol = w.symbol AND f.row = w.row AND f.k BETWEEN 1 AND w.k - 1 WHERE n = 1 GROUP BY ALL)
         SELECT w.symbol, w.side, w.row, w.k, 'NORMAL' AS kind, CASE WHEN (peak - bo) * 100 < abs(bo) THEN 'OPEN_BOUNDARY' WHEN (peak - zc) * 100 < abs(zc) THEN 'CLOSE_BOUNDARY' ELSE 'OK' END AS reason, abs(peak) / 100.0 AS price,
         w.row + gap + 1 AS plateau_start, w.row + le AS plateau_end, round((peak - bo) / abs(bo) * 100, 10) AS open_percent, round((peak - zc) / abs(zc) * 100, 10) AS close_percent, w.row + w.k AS close_row FROM w JOIN i USING (symbol, row) JOIN t USING (symbol, row) WHERE n = 1""",
+    "special_4h": f"""WITH {OPENINGS}, b AS (SELECT * FROM f WHERE k = 0), n AS (SELECT * FROM f WHERE k = 1),
+        zero AS (SELECT b.symbol, b.side, b.row, 1 AS k, 'ZERO' AS kind, b.o AS bo, n.o AS zo, n.c AS zc, greatest(b.h, n.h) AS peak, b.row + (b.h < n.h)::INT AS plateau_start, b.row + (n.h >= b.h)::INT AS plateau_end
+                 FROM b JOIN n USING (symbol, row) WHERE n.c <= b.o),
+        z AS (SELECT b.symbol, b.side, b.row, f.k, b.o AS bo, f.o AS zo, f.c AS zc, row_number() OVER (PARTITION BY b.symbol, b.row ORDER BY f.k) AS i FROM b JOIN n USING (symbol, row) JOIN f ON f.symbol = b.symbol AND f.row = b.row AND f.k BETWEEN 2 AND 6
+              WHERE n.c > b.o AND 3 * (b.c - f.c) >= b.c - b.o),
+        inner_ AS (SELECT z.symbol, z.row, f.k AS j, f.h, max(f.h) OVER (PARTITION BY z.symbol, z.row) AS peak FROM z JOIN f ON f.symbol = z.symbol AND f.row = z.row AND f.k BETWEEN 1 AND z.k - 1 WHERE i = 1),
+        lasts AS (SELECT symbol, row, any_value(peak) AS peak, max(j) FILTER (WHERE h = peak) AS le FROM inner_ GROUP BY ALL),
+        runs AS (SELECT symbol, row, coalesce(max(j) FILTER (WHERE h <> inner_.peak AND j < le), 0) AS gap FROM inner_ JOIN lasts USING (symbol, row) GROUP BY ALL),
+        both_ AS (SELECT * FROM zero UNION ALL SELECT z.symbol, side, z.row, k, 'NORMAL', bo, zo, zc, peak, z.row + gap + 1, z.row + le FROM z JOIN lasts USING (symbol, row) JOIN runs USING (symbol, row) WHERE i = 1)
+        SELECT symbol, side, row, k, kind, CASE WHEN kind = 'ZERO' AND zc >= zo THEN 'DIRECTION' WHEN (peak - bo) * 1000 < abs(bo) * 13 THEN 'OPEN_BOUNDARY' WHEN (peak - zc) * 1000 < abs(zc) * 13 THEN 'CLOSE_BOUNDARY' ELSE 'OK' END AS reason, abs(peak) / 100.0 AS price,
+        plateau_start, plateau_end, round((peak - bo) / abs(bo) * 100, 10) AS open_percent, round((peak - zc) / abs(zc) * 100, 10) AS close_percent, row + k AS close_row FROM both_""",
+    "archive_plan": """WITH d AS (SELECT CAST(unnest(range(DATE '2024-12-01', DATE '2025-02-11', INTERVAL 1 DAY)) AS DATE) AS day), m AS (SELECT *, count(*) OVER (PARTITION BY date_trunc('month', day)) = day(last_day(day)) AS whole FROM d),
+        p AS (SELECT DISTINCT CASE WHEN whole THEN 'monthly' ELSE 'daily' END AS kind, CASE WHEN whole THEN strftime(day, '%Y-%m') ELSE strftime(day, '%Y-%m-%d') END AS period, CASE WHEN day < DATE '2025-01-01' THEN 'ms' ELSE 'us' END AS unit FROM m)
+        SELECT symbol, kind, period, unit FROM p CROSS JOIN (SELECT unnest(['BTCUSDT', 'ETHUSDT']) AS symbol)""",
+    "leg_statistics": f"""WITH s AS (SELECT *, CAST(open_time AS DATE) AS day FROM {rows("1h", True)}), t AS (SELECT *, close - lag(close) OVER w AS d, ln(close / lag(close) OVER w) AS r, CASE WHEN high > low THEN (close - low) / (high - low) END AS loc FROM s WINDOW w AS (PARTITION BY symbol, day ORDER BY row))
+        SELECT symbol, day, count(*) AS rows, round(regr_slope(close, row), 6) AS slope, round(abs(arg_max(close, row) - arg_min(close, row)) / nullif(sum(abs(d)), 0), 6) AS efficiency, round(coalesce(sum(abs(d)), 0), 6) AS path,
+        round(sum((high + low + close) / 3 * volume) / sum(volume), 6) AS vwap, round(stddev_pop(r), 6) AS volatility, round(avg(loc), 6) AS close_location FROM t GROUP BY symbol, day""",
     "swing_formations": f"""WITH s AS (SELECT symbol, row, {exact("high")} AS h, {exact("low")} AS l, {exact("close")} AS c FROM {rows("4h", True)}),
         win AS (SELECT a.symbol, a.row, n AS length, b.row - a.row + 1 AS i, side, CASE WHEN side = 'HIGH' THEN b.h ELSE -b.l END AS h, CASE WHEN side = 'HIGH' THEN b.l ELSE -b.h END AS l, CASE WHEN side = 'HIGH' THEN b.c ELSE -b.c END AS c
             FROM s a CROSS JOIN (SELECT unnest(range(5, 11)) AS n) CROSS JOIN (SELECT unnest(['HIGH', 'LOW']) AS side) JOIN s b ON b.symbol = a.symbol AND b.row BETWEEN a.row AND a.row + n - 1),
