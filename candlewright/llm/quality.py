@@ -1,12 +1,22 @@
 """Quality rules whose cutoffs carry a guarantee on false rejections.
 
 Each rule is a ratio of a document, in thousandths, that rises with junk. Rules that look for the same kind of junk share a
-*path*: a fixed sequence of joint cutoffs from lenient to strict. On the labelled documents of good quality in one stratum
-(language), a step of a path is certified while the exact binomial test rejects "the path's rules at this step remove more
-than ``false_rejection`` / paths of the good documents" at level ``error`` / (strata x paths). That is Bonferroni over
-strata and paths and fixed-sequence testing along a path: with probability 1 - ``error``, no stratum loses more than
-``false_rejection`` of its good documents. The strictest certified step is used; a stratum with too few labels certifies
-none and loses nothing.
+*path*: a fixed sequence of joint cutoffs from lenient to strict. A step is certified on the labelled documents of good
+quality in one stratum (language) while the exact binomial test rejects "the rules chosen so far and this step together
+remove more than ``false_rejection`` of the good documents".
+
+The limit is shared by the paths, not split: the second path is tested on top of the step the first one reached, and gets
+what the first one left. The first path, and the second after a whole first one, are one fixed sequence at level
+``MAIN`` x ``share``; if the first path ends early, the second is tested at (1 - ``MAIN``) x ``share`` / ``STEPS``, a part
+for each step it may have ended at. Hence a share of error covers both paths.
+
+A stratum that could certify nothing even if no good document were removed has *few* labels. Whether it has depends on
+the number of its labels only, so the tests stay valid. Strata with few labels are tested together, as one pooled stratum
+(with all others, if they are too few together), and take its steps, back to where they remove no more than
+``false_rejection`` of the stratum's own good documents. ``error`` is divided over the strata that are tested alone and
+the pooled one: with probability 1 - ``error``, none of these loses more than ``false_rejection`` of its good documents.
+For a stratum with few labels the guarantee is that of the pool, not of its own. A stratum without any good label
+certifies none and loses nothing.
 """
 
 from __future__ import annotations
@@ -31,6 +41,8 @@ PATHS = {
 }
 RULES = [rule for path in PATHS.values() for rule in path]
 STEPS = 8
+#: The part of a share of error that the main sequence of tests gets.
+MAIN = 0.9
 
 _odd_space = re.compile("[\x1c-\x1f\x85\xa0  -     　]").search
 _words = re.compile(r"[^\x20\x09-\x0D]+").findall
@@ -105,22 +117,49 @@ def fails(path: str, step: int):
     return out
 
 
+def certified_steps(hits: Counter, limit: float, share: float) -> tuple[int, int]:
+    """How many steps of either path are certified; hits: good documents by the first step of either path that removes them."""
+    n, lost = sum(hits.values()), lambda i, j: sum(k for (a, b), k in hits.items() if a < i or b < j)
+    first = certified([lost(i + 1, 0) for i in range(STEPS)], n, limit, MAIN * share)
+    level = MAIN * share if first == STEPS else (1 - MAIN) * share / STEPS
+    return first, certified([lost(first, j + 1) for j in range(STEPS)], n, limit, level)
+
+
+def few_labels(n: int, limit: float, share: float) -> bool:
+    """Whether n labels certify nothing even if no good document is removed."""
+    return not n or binomial_tail(0, n, limit) > MAIN * share
+
+
+def all_steps(found: dict[str, Counter], limit: float, error: float) -> dict[str, tuple[int, int]]:
+    """How many steps of either path each stratum uses."""
+    sizes = {s: sum(hits.values()) for s, hits in found.items()}
+    few = {s for s, n in sizes.items() if few_labels(n, limit, error / len(found))}
+    share = error / max(1, len(found) - len(few) + bool(few))
+    out = {s: certified_steps(hits, limit, share) for s, hits in found.items() if s not in few}
+    if few:
+        together = few if not few_labels(sum(sizes[s] for s in few), limit, share) else set(found)
+        pooled = certified_steps(sum((found[s] for s in together), Counter()), limit, share)
+        for s in few:
+            i, j = pooled
+            while sum(k for (a, b), k in found[s].items() if a < i or b < j) > limit * sizes[s]:
+                i, j = (i, j - 1) if j else (i - 1, 0)
+            out[s] = i, j
+    return out
+
+
 def fit_cutoffs(measured: DataFrame, labels: DataFrame, false_rejection: float = 0.02, error: float = 0.05) -> dict[tuple[str, str], int]:
     """(stratum, path) -> strictest certified step, from all documents labelled quality 1 that pass the base rules.
 
-    Only counts by stratum, path and step come to the driver.
+    Only counts by stratum and first removing step of either path come to the driver.
     """
     good = labels.filter("quality = 1").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
     held = measured.filter(~base_failed()).join(good, "doc_id", "left_semi")
-    removed = [F.count_if(fails(path, k)).alias(f"{path}_{k}") for path in PATHS for k in range(STEPS)]
-    found = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *removed).collect()
-    out = {}
-    for row in found:
-        for path in PATHS:
-            passed = certified([row[f"{path}_{k}"] for k in range(STEPS)], row["n"], false_rejection / len(PATHS), error / (len(found) * len(PATHS)))
-            if passed:
-                out[row["stratum"], path] = passed - 1
-    return out
+    first = [F.coalesce(*(F.when(fails(path, k), k) for k in range(STEPS)), F.lit(STEPS)).alias(path) for path in PATHS]
+    found = {}
+    for row in held.select("stratum", *first).groupBy("stratum", *PATHS).agg(F.count(F.lit(1)).alias("n")).collect():
+        found.setdefault(row["stratum"], Counter())[tuple(row[path] for path in PATHS)] += row["n"]
+    steps = all_steps(found, false_rejection, error)
+    return {(s, path): passed - 1 for s, both in steps.items() for path, passed in zip(PATHS, both) if passed}
 
 
 def verdict(steps: dict[tuple[str, str], int]):
@@ -137,8 +176,8 @@ def verdict(steps: dict[tuple[str, str], int]):
 def quality_rules(docs: DataFrame, labels: DataFrame, false_rejection: float = 0.02, error: float = 0.05) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, and the rules' values.
 
-    A null text has no words, hence fails the base rules. A null language is a stratum of its own; a stratum without
-    enough labels rejects by the base rules only. Repeated rows give repeated results; labels of unknown documents, null
+    A null text has no words, hence fails the base rules. A null language is a stratum of its own; a stratum with few
+    good labels uses pooled cutoffs, one without any rejects by the base rules only. Repeated rows give repeated results; labels of unknown documents, null
     labels and other columns are ignored; empty tables give no rows or no cutoffs.
     """
     measured = written(quality_stats(docs), "quality-stats")

@@ -62,6 +62,25 @@ def test_cutoffs_remove_junk_and_keep_unknown_strata(spark):
     assert {r.doc_id for r in filtered.collect()} == {d for d, k in kept.items() if k}
 
 
+def test_strata_with_few_labels_reject_junk(spark):
+    r = random.Random(2)
+    rows = [(i, " ".join("word%d" % r.randrange(999) for _ in range(60)), "en" if i < 300 else "de", "s") for i in range(360)]
+    junk = [(1000 + i, " ".join("w%d ##" % r.randrange(999) for _ in range(60)), ("en", "de")[i % 2], "s") for i in range(20)]
+    labels = spark.createDataFrame([(d, 1, 0) for d, *_ in rows], "doc_id bigint, quality int, toxic int")
+    docs = documents(spark, rows + junk)
+    kept = {x.doc_id for x in quality.quality_rules(docs, labels).collect() if x.kept}
+    assert kept == {d for d, *_ in rows}
+    assert {x.doc_id for x in quality.keep_good(docs, labels).collect()} == kept
+
+
+def test_pooled_steps_yield_to_own_labels():
+    hits = {"en": {(8, 8): 400}, "de": {(8, 8): 30}, "fr": {(8, 8): 200}, "it": {(8, 8): 100}, "es": {(8, 8): 40, (3, 8): 1}}
+    steps = quality.all_steps({s: quality.Counter(x) for s, x in hits.items()}, 0.02, 0.05)
+    assert steps["en"] == steps["de"] == (8, 8)  # de: its 30 labels would certify nothing alone
+    assert steps["es"] == (3, 0)  # one of its 41 good documents is more than 2 %
+    assert quality.certified_steps(quality.Counter({(8, 8): 1000, (2, 8): 50}), 0.02, 0.05) == (2, 8)
+
+
 def test_edges(spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     got = quality.quality_rules(documents(spark), labels)
