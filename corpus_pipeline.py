@@ -10,8 +10,8 @@ from candlewright.llm.common import written
 from candlewright.llm.exact_dedup import exact_dedup
 from candlewright.llm.mixing import mix
 from candlewright.llm.quality import keep_good
+from candlewright.llm.near_copies import near_copies
 from candlewright.llm.queries import tokenizer_path
-from candlewright.llm.simhash import simhash_components
 
 #: No more ids than this are broadcast (8 MB of them); beyond it the anti-join is shuffled.
 SMALL_IDS = 1_000_000
@@ -32,8 +32,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document of least id stays."""
-    return without(docs, simhash_components(docs).filter("doc_id <> component_id"))
+    """Of each component of texts whose five-word shingles have Jaccard similarity 0.8 or more the document of least id stays."""
+    return without(docs, near_copies(docs).filter("doc_id <> component_id"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mixing), ("tokens", tokens)]
 
-#: XXH64 fingerprints, certified cutoffs and hashed permutations are beyond SQL.
+#: XXH64 shingles, certified cutoffs and hashed permutations are beyond SQL.
 ORACLE_SQL = None
 
 
