@@ -1,14 +1,21 @@
-"""Near copies by the exact Jaccard similarity of their sets of word shingles.
+"""SimHash near-dedup with an exact similarity: links of fingerprints, checked and completed to all pairs of a Jaccard similarity.
 
-1. *Keys*: in an order common to all texts, two sets of similarity s or more share one of their first n - ceil(s n) + 1
-   shingles (prefix filter). The order is by hash, shingles that are common in a sample last: any sample gives the same
-   links, it only keeps a widespread line out of the keys.
-2. *Candidates*: texts that share a key are compared by size and by a 256-bit parity map of their shingles; both bounds
-   reject no pair of similarity s. Each key reports a spanning star of each of its groups, never all pairs.
-3. *Check*: the texts of a connected group of candidates meet in one task, where their sets decide.
+Texts are sets of word shingles; equal sets are one *node*. Two sets of similarity s or more
 
-No step loses a pair, so the components are those of all pairs at s or more. The third step holds a whole group of
-candidates in one task.
+* differ in at most (1 - s) / (1 + s) of their joint size, so their parity maps (bit i is 1 if an odd number of
+  shingles end in i) differ in no more bits, and
+* share one of their first n - ceil(s n) + 1 shingles in any order common to all texts (prefix filter). The order is by
+  hash, shingles that are common in a sample last: any sample gives the same links, it only keeps widespread lines out.
+
+1. *First links*: fingerprints within a few bits, from the vantage-point trees of ``simhash``, and for each of a node's
+   first keys the pair with one leader of all nodes of that key and size class. Pairs are checked, by wide parity maps and
+   then by their sets, and give components. A group of copies, however large, is all but one component after that.
+2. *Completion*: of the nodes that share a key, only those outside the key's main component meet others: all pairs of
+   different components that both bounds allow are checked in the same way.
+
+A pair of similarity s is in one component after step 1 or is checked in step 2, so the components are those of all
+pairs at s or more. No step gathers a group in one task, or makes pairs inside a component. Step 2 is quadratic only in nodes
+that share a key and a size class and are in different components.
 """
 
 from __future__ import annotations
@@ -18,15 +25,22 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import staying, written
 from .components import connected_components
-from .common import written
-from .simhash import shingle_hashes
+from .exact_dedup import Filter
+from .simhash import fingerprint, fingerprint_links, shingle_hashes
 
 MAPS = ("m0", "m1", "m2", "m3")
 ROUNDING = 1e-9
+#: So many keys of each node are used for first links.
+FIRST_KEYS = 16
+
+
+def text_key(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
 def shingle_set(text: str | None, words: int, seed: int) -> np.ndarray:
@@ -34,11 +48,17 @@ def shingle_set(text: str | None, words: int, seed: int) -> np.ndarray:
 
 
 def parity_map(shingles: np.ndarray) -> np.ndarray:
-    """Bit i is 1 if an odd number of shingles end in i: two maps differ in no more bits than the sets in shingles."""
-    odd = np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    """64-bit words, four or more, a power of two with as many bits as shingles at least. Folding halves gives the map of half the bits."""
+    bits = max(256, 1 << max(0, len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def folded(wide: np.ndarray) -> np.ndarray:
+    """The map of 256 bits."""
+    return np.bitwise_xor.reduce(wide.reshape(-1, len(MAPS)), axis=0)
+
+
 def prefix(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray, similarity: float) -> np.ndarray:
     n = len(shingles)
     first = n - math.ceil(similarity * n - ROUNDING) + 1
@@ -48,63 +68,25 @@ def prefix(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray, similari
     return shingles[np.argsort(np.where(common[at] == shingles, ranks[at], 0), kind="stable")[:first]]
 
 
-def possible(sizes: np.ndarray, maps: np.ndarray, front: np.ndarray, left: np.ndarray, similarity: float) -> np.ndarray:
-    """front x left: False only for pairs below the similarity."""
-    a, b = sizes[front][:, None], sizes[left][None, :]
-    maps = maps.view(np.uint64)  # of signed numbers, bitwise_count counts the bits of the absolute value
-    apart = sum(np.bitwise_count(maps[front, k][:, None] ^ maps[left, k][None, :]).astype(np.int64) for k in range(len(MAPS)))
-    return (apart * (1 + similarity) <= (1 - similarity) * (a + b) + ROUNDING) & (np.minimum(a, b) >= similarity * np.maximum(a, b) - ROUNDING)
-
-
-def spread(n: int, near) -> list[np.ndarray]:
-    """Connected groups of 0 .. n - 1, single ones too; near(front, left) says which of left are linked to any of front."""
-    out, left = [], np.arange(n)
-    while len(left):
-        front, left = left[:1], left[1:]
-        group = [front]
-        while len(front) and len(left):
-            hit = near(front, left)
-            front, left = left[hit], left[~hit]
-            group.append(front)
-        out.append(np.concatenate(group))
-    return out
-
-
-def candidate_groups(sizes: np.ndarray, maps: np.ndarray, similarity: float) -> list[np.ndarray]:
-    def near(front, left):
-        hit = np.zeros(len(left), bool)
-        step = max(1, 500_000 // len(left))
-        for lo in range(0, len(front), step):
-            hit |= possible(sizes, maps, front[lo : lo + step], left, similarity).any(axis=0)
-        return hit
-
-    return spread(len(sizes), near)
-
-
-def exact_groups(sets: list[np.ndarray], similarity: float) -> list[np.ndarray]:
-    """Connected groups of sets of the similarity or more; sets are distinct."""
-    sizes = np.array([len(x) for x in sets], np.int64)
-    maps = np.array([parity_map(x) for x in sets])
-    common, counts = np.unique(np.concatenate(sets), return_counts=True)  # rare shingles first, within these sets
-    keys = [prefix(x, common, counts, similarity).tolist() for x in sets]
-    holders = {}
-    for i, found in enumerate(keys):
-        for key in found:
-            holders.setdefault(key, []).append(i)
-
-    def near(front, left):
-        hit = np.zeros(len(left), bool)
-        for f in front:
-            shares = np.zeros(len(sets), bool)
-            for key in keys[f]:
-                shares[holders[key]] = True
-            open_ = np.flatnonzero(~hit & shares[left])
-            for i in open_[possible(sizes, maps, np.array([f]), left[open_], similarity)[0]]:
-                both = len(np.intersect1d(sets[f], sets[left[i]], assume_unique=True))
-                hit[i] = both >= similarity * (sizes[f] + sizes[left[i]] - both) - ROUNDING
-        return hit
-
-    return spread(len(sets), near)
+def close(apart: Column, a: Column, b: Column, similarity: float) -> Column:
+    """Whether sets of sizes a and b whose maps are ``apart`` may reach the similarity."""
+    return (apart * (1 + similarity) <= (1 - similarity) * (a + b) + ROUNDING) & (F.least(a, b) >= similarity * F.greatest(a, b) - ROUNDING)
+
+
+def possible(a: str, b: str, similarity: float) -> Column:
+    apart = sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in MAPS), F.lit(0))
+    return close(apart, F.col(f"{a}.size"), F.col(f"{b}.size"), similarity)
+
+
+def wide_apart(a: Column, b: Column) -> Column:
+    """Bits that differ between two wide maps; the longer is folded once (sizes that may match are less than a factor of two apart)."""
+    half = lambda x, y: F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, F.lit(1), F.size(y)), F.slice(x, F.size(y) + 1, F.size(y)), lambda p, q: p.bitwiseXOR(q))).otherwise(x)
+    return F.aggregate(F.zip_with(half(a, b), half(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, x: n + x)
+
+
+def size_class(size: Column, similarity: float) -> Column:
+    """Sizes that may match are in the same class or in neighbouring ones."""
+    return F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / -math.log(similarity - ROUNDING)).cast("int")
 
 
 def common_shingles(docs: DataFrame, words: int, seed: int, sample_rows: int, least: int = 6, most: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
@@ -123,77 +105,126 @@ def common_shingles(docs: DataFrame, words: int, seed: int, sample_rows: int, le
     return common[by_hash], (len(common) - np.arange(len(common)))[by_hash]
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, seed: int = 42, sample_rows: int = 10_000) -> DataFrame:
-    """doc_id, component_id of each row with a near copy: the least doc_id reachable over pairs of the similarity or more.
-
-    Words are split at white space, A-Z lowered; a text of fewer words than a shingle is one shingle. Texts of equal sets
-    (wordless ones and nulls too) are copies. A null id is kept and never chosen as component_id unless its whole
-    component has none. An empty table gives no rows. Other columns are ignored.
-    """
-    texts = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].alias("text"))
+def measured(texts: DataFrame, words: int, similarity: float, seed: int, sample_rows: int) -> DataFrame:
+    """doc_id, key, node, twin (a second hash of the set), fp, size, the maps and the prefix's keys of each row."""
     common, ranks = common_shingles(texts, words, seed, sample_rows)
 
-    def measure(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                sets = [shingle_set(t, words, seed) for t in part.column(1).to_pylist()]
-                nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), seed) for x in sets], np.uint64).view(np.int64)
-                maps = np.array([parity_map(x) for x in sets]).reshape(-1, len(MAPS))
-                keys = pa.array([prefix(x, common, ranks, similarity).view(np.int64) for x in sets], pa.list_(pa.int64()))
-                columns = [part.column(0), part.column(1), pa.array(nodes), pa.array([len(x) for x in sets], pa.int64()), *(pa.array(np.ascontiguousarray(maps[:, k])) for k in range(len(MAPS))), keys]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "node", "size", *MAPS, "keys"])
-
-    def key_edges(rows: np.ndarray):
-        """Stars of the complete runs of equal keys in sorted rows (key, node, size, maps)."""
-        bounds = np.flatnonzero(np.diff(rows[:, 0], prepend=rows[0, 0] - 1, append=rows[-1, 0] + 1))
-        for lo, hi in zip(bounds[:-1][np.diff(bounds) > 1], bounds[1:][np.diff(bounds) > 1]):
-            run = rows[lo:hi][np.unique(rows[lo:hi, 1], return_index=True)[1]]
-            for group in candidate_groups(run[:, 2], np.ascontiguousarray(run[:, 3:]), similarity) if len(run) > 1 else ():
-                if len(group) > 1:
-                    yield np.full(len(group) - 1, run[group[0], 1]), run[group[1:], 1]
-
-    def link(batches):
-        def edges(rows):
-            found = list(key_edges(rows))
-            a, b = (np.concatenate([x[k] for x in found] or [np.empty(0, np.int64)]) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-        parts = []
+    def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            parts.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1))
-            if parts[-1][-1, 0] != parts[0][0, 0]:
-                rows = np.concatenate(parts)
-                last = np.searchsorted(rows[:, 0], rows[-1, 0])
-                yield edges(rows[:last])
-                parts = [rows[last:]]
-        if parts:
-            yield edges(np.concatenate(parts))
-
-    def check(key, table):
-        ids, at, sets = table.column("doc_id").to_pylist(), {}, []
-        for i, text in enumerate(table.column("text").to_pylist()):
-            found = shingle_set(text, words, seed)
-            rows = at.setdefault(found.tobytes(), [])
-            if not rows:
-                sets.append(found)
-            rows.append(i)
-        rows = list(at.values())
-        out = []
-        for group in exact_groups(sets, similarity):
-            members = [ids[i] for g in group for i in rows[g]]
-            if len(members) > 1:
-                least = min((x for x in members if x is not None), default=None)
-                out += [(x, least) for x in members]
-        return pa.table({"doc_id": pa.array([x for x, _ in out], pa.int64()), "component_id": pa.array([x for _, x in out], pa.int64())})
-
-    schema = "doc_id bigint, text string, node bigint, size bigint, " + ", ".join(f"{m} bigint" for m in MAPS) + ", keys array<bigint>"
-    measured = written(texts.mapInArrow(measure, schema), "near-sets")
-    keyed = measured.select(F.explode("keys").alias("key"), "node", "size", *MAPS).repartition("key").sortWithinPartitions("key")
-    roots = connected_components(written(keyed.mapInArrow(link, "a bigint, b bigint"), "near-candidates"))
-    copies = measured.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    grouped = copies.join(roots, "node", "left").select("node", F.coalesce("root", F.when(F.col("n") > 1, F.col("node"))).alias("root")).filter("root IS NOT NULL")
-    members = measured.select("doc_id", "text", "node").join(written(grouped, "near-roots"), "node").select("root", "doc_id", "text")
-    return members.groupBy("root").applyInArrow(check, "doc_id bigint, component_id bigint")
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                hashes = [shingle_hashes(t, words, seed) for t in part.column(2).to_pylist()]
+                sets = [np.unique(x) for x in hashes]
+                bytes_of = [x.tobytes() for x in sets]
+                nodes, twins = (np.array([xxhash.xxh64_intdigest(x, s) for x in bytes_of], np.uint64).view(np.int64) for s in (seed, seed + 1))
+                prints = np.array([fingerprint(x) for x in hashes], np.uint64).view(np.int64)
+                wide = [parity_map(x) for x in sets]
+                maps = np.array([folded(x) for x in wide]).reshape(-1, len(MAPS))
+                lists = pa.list_(pa.int64())
+                columns = [
+                    part.column(0), part.column(1), pa.array(nodes), pa.array(twins), pa.array(prints), pa.array([len(x) for x in sets], pa.int64()), *(pa.array(np.ascontiguousarray(maps[:, k])) for k in range(len(MAPS))),
+                    pa.array(wide, lists), pa.array([prefix(x, common, ranks, similarity).view(np.int64) for x in sets], lists),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "node", "twin", "fp", "size", *MAPS, "wide", "keys"])
+
+    schema = "doc_id bigint, key string, node bigint, twin bigint, fp bigint, size bigint, " + ", ".join(f"{m} bigint" for m in MAPS) + ", wide array<bigint>, keys array<bigint>"
+    return written(texts.select("doc_id", text_key(F.col("text")).alias("key"), "text").mapInArrow(run, schema), "near-rows")
+
+
+class Checker:
+    """Checks pairs of nodes: by wide maps, then by the sets, which are made anew from one text of each node that is left."""
+
+    def __init__(self, texts: DataFrame, nodes: DataFrame, words: int, similarity: float, seed: int):
+        self.texts, self.nodes, self.words, self.similarity, self.seed = texts, nodes, words, similarity, seed
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(node, shingles) of the nodes in ``ids``."""
+        words, seed = self.words, self.seed
+
+        def run(batches):
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 256):
+                    part = batch.slice(lo, 256)
+                    found = [shingle_set(t, words, seed).view(np.int64) for t in part.column(1).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+        wanted = written(self.nodes.join(ids, "node", "left_semi").select("node", F.col("key").alias("digest")), "near-wanted")
+        probe = Filter(wanted.select("digest"), wanted.count()).probe(self.texts.select(text_key(F.col("text")).alias("digest"), "text")).filter("maybe")
+        texts = probe.select("digest", "text").join(wanted, "digest").groupBy("node").agg(F.min("text").alias("text"))
+        return written(texts.mapInArrow(run, "node bigint, shingles array<bigint>"), "near-sets")
+
+    def check(self, pairs: DataFrame) -> DataFrame:
+        """Those of distinct (u, v) that reach the similarity."""
+        side = lambda name: self.nodes.select(F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("wide").alias(f"wide_{name}"))
+        met = pairs.join(side("u"), "u").join(side("v"), "v")
+        met = met.filter(close(wide_apart(F.col("wide_u"), F.col("wide_v")), F.col("size_u"), F.col("size_v"), self.similarity))
+        left = written(met.select("u", "v"), "near-pairs")
+        sets = self.sets(left.select(F.col("u").alias("node")).unionByName(left.select(F.col("v").alias("node"))).distinct())
+        both = left.join(sets.toDF("u", "set_u"), "u").join(sets.toDF("v", "set_v"), "v").withColumn("both", F.size(F.array_intersect("set_u", "set_v")))
+        enough = F.col("both") >= self.similarity * (F.size("set_u") + F.size("set_v") - F.col("both")) - ROUNDING
+        return written(both.filter(enough).select("u", "v"), "near-links")
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u <> v").distinct()
+
+
+def first_pairs(nodes: DataFrame, keyed: DataFrame, similarity: float, within: int) -> DataFrame:
+    """(u, v): links of fingerprints, and each node with the leader of its size class under its first keys."""
+    prints = written(nodes.groupBy("fp").agg(F.min("node").alias("node")), "near-prints")
+    links = fingerprint_links(prints.select("fp"), within)
+    near = links.join(prints.toDF("a", "u"), "a").join(prints.toDF("b", "v"), "b").select("u", "v")
+    same = nodes.join(prints.withColumnRenamed("node", "v"), "fp").select(F.col("node").alias("u"), "v")
+    early = keyed.filter(F.col("place") < FIRST_KEYS).withColumn("class", size_class(F.col("size"), similarity))
+    own = F.struct(F.xxhash64("key", "node").alias("draw"), "node", "size", *MAPS)
+    leaders = early.groupBy("key", "class").agg(F.min(own).alias("x"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "class", "x")
+    led = early.select("key", "class", F.struct("node", "size", *MAPS).alias("y")).join(leaders, ["key", "class"]).filter(possible("x", "y", similarity))
+    return ordered(near.unionByName(same).unionByName(led.select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))))
+
+
+def open_pairs(keyed: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): nodes of different components that share a key and may reach the similarity."""
+    rows = keyed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = written(rows.select("key", "root", size_class(F.col("size"), similarity).alias("class"), F.struct("node", "root", "size", *MAPS).alias("x")), "near-open")
+    parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", F.col("main.root").alias("main"))
+    some = written(rows.join(main, "key"), "near-some")
+    strays = some.filter("root <> main").select("key", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"), F.col("x").alias("y"))
+    met = strays.join(some.select("key", "class", "x", (F.col("root") == F.col("main")).alias("in_main")), ["key", "class"])
+    return ordered(met.filter(F.col("in_main") | (F.col("x.node") > F.col("y.node"))).filter("x.root <> y.root").filter(possible("x", "y", similarity)).select(F.col("x.node").alias("u"), F.col("y.node").alias("v")))
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, within: int = 3, seed: int = 42, sample_rows: int = 10_000) -> DataFrame:
+    """doc_id, key, component_id, kept of each row with a near copy: the least doc_id reachable over pairs of the similarity or more.
+
+    key is the SHA-256 of the text; kept marks the row of a component with the least (doc_id, key), null ids last; a row
+    that repeats it is marked as well. Words are split at white space, A-Z lowered; a text of fewer words than a shingle is one
+    shingle. Texts of equal sets (wordless ones and nulls too) are copies. A null id is kept and never chosen as
+    component_id unless its whole component has none. An empty table gives no rows. Other columns are ignored. Sets whose
+    64-bit hashes collide, which a second hash shows, are an error rather than a false link.
+    """
+    texts = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].alias("text"))
+    rows = measured(texts, words, similarity, seed, sample_rows)
+    collision = F.assert_true(F.min("twin") == F.max("twin"), F.lit("two sets of shingles share a hash: choose another seed"))
+    rest = F.struct("key", "fp", "size", *MAPS, "wide", "keys")
+    nodes = rows.groupBy("node").agg(F.min_by(rest, "key").alias("r"), F.count(F.lit(1)).alias("copies"), collision.alias("ok"))
+    nodes = written(nodes.filter("ok IS NULL").select("node", "copies", "r.*"), "near-nodes")
+    keys = nodes.select("node", F.posexplode("keys").alias("place", "key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    keyed = keys.join(shared, "key").join(nodes.select("node", "size", *MAPS), "node")
+    keyed = written(keyed.select("key", "place", "node", "size", *MAPS), "near-keys")
+    checker = Checker(texts, nodes, words, similarity, seed)
+    links = checker.check(first_pairs(nodes, keyed, similarity, within))
+    roots = written(connected_components(links, "u", "v"), "near-first")
+    more = checker.check(open_pairs(keyed, roots, similarity))
+    roots = written(connected_components(links.unionByName(more), "u", "v"), "near-roots")
+    classes = nodes.select("node", "copies").join(roots, "node", "left").filter("root IS NOT NULL OR copies > 1").select("node", F.coalesce("root", "node").alias("root"))
+    members = written(rows.select("doc_id", "key", "node").join(classes, "node").select("doc_id", "key", "root"), "near-members")
+    least = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("least"))
+    kept = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("key") == F.col("least.key"))
+    return members.join(least, "root").select("doc_id", "key", F.col("least.doc_id").alias("component_id"), kept.alias("kept"))
+
+
+def without_near_copies(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` less all but one of each component of near copies, with all their columns; rows go one by one."""
+    return staying(docs, near_copies(docs, **options).select("doc_id", "key", "kept"), text_key(F.col("text")))

@@ -1,7 +1,10 @@
 import random
 
-import corpus_pipeline
-from candlewright.llm.near_copies import near_copies
+import numpy as np
+from pyspark.sql import functions as F
+
+from candlewright.llm import near_copies as module
+from candlewright.llm.near_copies import near_copies, without_near_copies
 from tests.llm.helpers import documents
 
 
@@ -44,8 +47,38 @@ def test_components_match_all_pairs(spark):
     assert near_copies(documents(spark, rows).limit(0)).count() == 0
 
 
-def test_stage_drops_pairs_beyond_three_bits(spark):
-    rows = corpus()
-    kept = {x.doc_id for x in corpus_pipeline.near(spark, documents(spark, rows), "").collect()}
-    sets = {d: shingles(t) for d, t, *_ in rows if d in kept}
-    assert not any(similar(sets[a], sets[b]) for a in sets for b in sets if a < b)
+def test_no_near_copies_stay_and_rows_go_one_by_one(spark):
+    rows = corpus() + [(1, "another text under an id that is taken", "en", "s"), (1005, "alone", "en", "s"), (None, "nobody", "en", "s"), (None, "Nobody", "en", "s")]
+    docs = documents(spark, rows)
+    got = without_near_copies(docs)
+    assert got.columns == docs.columns
+    kept = [(x.doc_id, x.text) for x in got.collect()]
+    sets = [shingles(t) for _, t in kept]
+    assert not any(similar(a, b) for i, a in enumerate(sets) for b in sets[:i])
+    assert (1, "another text under an id that is taken") in kept and kept.count((1005, "alone")) == 1
+    assert sum(d is None for d, _ in kept) == 1 and (1001 in dict(kept)) and 1002 not in dict(kept)
+
+
+def test_wide_maps_bound_the_difference_of_sets(spark):
+    r = np.random.default_rng(2)
+    rows = []
+    for n in (3, 200, 256, 257, 700, 5000):
+        a = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+        for b in (a, a[: -max(1, n // 10)], np.concatenate([a, r.integers(0, 2**63, n // 5).astype(np.uint64)])):
+            rows.append((len(np.setxor1d(a, b)), module.parity_map(a).tolist(), module.parity_map(b).tolist(), module.folded(module.parity_map(a)).tolist() == module.parity_map(a)[:4].tolist()))
+    df = spark.createDataFrame([x[:3] for x in rows], "differ int, a array<bigint>, b array<bigint>")
+    got = df.select("differ", module.wide_apart(F.col("a"), F.col("b")).alias("apart")).collect()
+    assert all(x.apart <= x.differ and (x.differ == 0) == (x.apart == 0) for x in got)
+
+
+def test_one_large_group_of_distinct_near_copies(spark):
+    r = random.Random(3)
+    base = [f"w{r.randrange(9000)}" for _ in range(200)]
+    rows = []
+    for i in range(1500):
+        words = list(base)
+        for _ in range(r.randint(0, 4)):
+            words[r.randrange(len(words))] = f"x{r.randrange(90000)}"
+        rows.append((i, " ".join(words), "en", "s"))
+    got = near_copies(documents(spark, rows)).collect()
+    assert len(got) == 1500 and {x.component_id for x in got} == {0} and sum(x.kept for x in got) == 1
