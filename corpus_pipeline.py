@@ -7,41 +7,44 @@ from pyspark.sql import functions as F
 
 from candlewright.llm.bpe import encode_documents
 from candlewright.llm.common import written
-from candlewright.llm.exact_dedup import exact_dedup
+from candlewright.llm.exact_dedup import without_copies
 from candlewright.llm.mixing import mix
+from candlewright.llm.near_copies import without_near_copies
 from candlewright.llm.quality import keep_good
-from candlewright.llm.near_copies import near_copies
 from candlewright.llm.queries import tokenizer_path
 
-#: No more ids than this are broadcast (8 MB of them); beyond it the anti-join is shuffled.
-SMALL_IDS = 1_000_000
-
-
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` less the rows with an id (doc_id) in ``dropped``; null ids stay."""
-    ids = written(dropped.select("doc_id").filter("doc_id IS NOT NULL").distinct(), "dropped")
-    return docs.join(F.broadcast(ids) if ids.count() <= SMALL_IDS else ids.hint("shuffle_merge"), "doc_id", "left_anti").select(docs.columns)
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows whose text passes the base rules and the cutoffs certified for its language on all labels.
+
+    Null, empty and short texts go; repeated rows and ids are judged row by row; a null language is a stratum of its own.
+    """
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, exact_dedup(docs).filter(~F.col("kept")))
+    """Of rows with equal texts (A-Z lowered, null as empty) that with the largest doc_id stays, once; null ids rank last.
+
+    Rows go one by one, so another text under the same id stays.
+    """
+    return without_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts whose five-word shingles have Jaccard similarity 0.8 or more the document of least id stays."""
-    return without(docs, near_copies(docs).filter("doc_id <> component_id"))
+    """Of each component of texts whose five-word shingles have Jaccard similarity 0.8 or more the row of least id stays, once.
+
+    Texts without words are copies of each other; null ids rank last; rows go one by one.
+    """
+    return without_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document comes once at least; those of smaller sources come up to twice."""
+    """Every row comes once at least; those of smaller sources come up to twice. A null source is a source of its own."""
     return mix(docs, keys=False)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per row doc_id, n_tokens and digests of its ids and of the text decoded from them; a null text is empty."""
     return encode_documents(docs, tokenizer_path())
 
 
