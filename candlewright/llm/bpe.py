@@ -7,9 +7,11 @@ bytes of u, and it comes later in the list. The longest such chain, weighted by
 byte can reach back: tokens that end at least that many bytes before the end of what has been read are final.
 ``MergeTable`` computes this bound in one pass over the merge list.
 
-*Streaming.* A pretoken is merged in windows of ``window`` bytes; after each window the tokens that are final are
-emitted and the next window starts behind them (no later merge crosses an emitted boundary). Memory is the window,
-whatever the length of the pretoken. Ordinary words fit one window and are memoised in a bounded table.
+*Streaming.* ``Encoder.feed`` takes a text in pieces of any size. It holds back what more text may change: a special token's
+beginning, and the text behind the last place that no pretoken spans. ``Piece`` merges a pretoken in windows of ``window``
+bytes; after each window the tokens that are final are emitted and the next window starts behind them (no later merge
+crosses an emitted boundary). A pretoken without end, as a text without spaces is, goes to a ``Piece`` as it comes. Memory is
+a block of text and a window, whatever the length of text or pretoken. Words are memoised in a bounded table.
 """
 
 from __future__ import annotations
@@ -32,8 +34,11 @@ SPACES = "\t\n\x0b\x0c\r \x85\xa0               
 _pretokens = regex.compile(PRETOKEN).findall
 _chunks = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+").findall
 _space_run = re.compile(f" [{SPACES}]|^[{SPACES}]").search
-_cut = re.compile(f"(?<=[^{SPACES}]) (?=[^{SPACES}])").search
-BLOCK = 1 << 18
+_settled = re.compile(f".*[^{SPACES}](?= [^{SPACES}])", re.DOTALL).match
+_pretoken_spans = regex.compile(PRETOKEN).finditer
+#: The classes of runs that a pretoken can be, each as the pattern of one more part of it.
+_runs = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+")]
+BLOCK = 1 << 16
 
 
 @lru_cache(1)
@@ -79,7 +84,7 @@ class MergeTable:
             self.lookahead = max(self.lookahead, chain)
             longest = max(longest, len(u) + len(v))
         self.window = max(256, 2 * self.lookahead + longest)
-        self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
+        self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").search if self.special else None
 
     def merge(self, data: bytes) -> list[int]:
         """The tokens of a whole piece: the earliest rule first, leftmost first."""
@@ -122,18 +127,34 @@ class MergeTable:
         return [x for x, ok in zip(ids, alive) if ok]
 
     def stream(self, data: bytes, window: int | None = None) -> Iterator[int]:
-        """Tokens of one pretoken, emitted once stable; holds ``window`` bytes at most."""
-        window, start = window or self.window, 0
-        while len(data) - start > window:
-            stable = window - self.lookahead
-            for token in self.merge(data[start : start + window]):
-                size = len(self.text_of[token])
-                if size > stable:
-                    break
-                stable -= size
-                start += size
-                yield token
-        yield from self.merge(data[start:])
+        """Tokens of one whole pretoken."""
+        piece = Piece(self, window)
+        yield from piece.feed(data)
+        yield from piece.finish()
+
+
+class Piece:
+    """One pretoken, fed in bytes: tokens are emitted once they are final; ``window`` bytes are held at most."""
+
+    def __init__(self, table: MergeTable, window: int | None = None):
+        self.table, self.window, self._data = table, window or table.window, bytearray()
+
+    def feed(self, data: bytes) -> Iterator[int]:
+        for lo in range(0, len(data), self.window):
+            self._data += data[lo : lo + self.window]
+            while len(self._data) > self.window:
+                stable, start = self.window - self.table.lookahead, 0
+                for token in self.table.merge(bytes(self._data[: self.window])):
+                    size = len(self.table.text_of[token])
+                    if start + size > stable:
+                        break
+                    start += size
+                    yield token
+                del self._data[:start]
+
+    def finish(self) -> Iterator[int]:
+        data, self._data = bytes(self._data), bytearray()
+        yield from self.table.merge(data)
 
 
 class Memo(dict):
@@ -156,41 +177,95 @@ class Memo(dict):
 
 
 class Encoder:
-    """Text to ids. ``parts`` yields ids as decimal text, block by block, without holding all of them."""
+    """Text to ids. ``feed`` takes the next part of a text and ``finish`` ends it; both yield ids as decimal text."""
 
-    def __init__(self, table: MergeTable, memo: int = 250_000):
-        self.table = table
+    def __init__(self, table: MergeTable, memo: int = 250_000, block: int = BLOCK):
+        self.table, self.block = table, block
         self._word = Memo(lambda w: ",".join(map(str, table.stream(w.encode()))), memo // 2)
         self._chunk = Memo(lambda c: ",".join(map(self._word.__getitem__, _pretokens(c))), memo)
-
-    @staticmethod
-    def blocks(text: str) -> Iterator[str]:
-        """Cut a long text before single spaces between other characters; no pretoken spans such a place."""
-        start = 0
-        while len(text) - start > BLOCK:
-            cut = _cut(text, start + BLOCK)
-            if not cut:
-                break
-            yield text[start : cut.start()]
-            start = cut.start()
-        yield text[start:]
+        self._longest = max(map(len, table.special), default=0)
+        self._raw = ""  # may begin a special token
+        self._text = ""  # plain text that is not settled
+        self._open: tuple | None = None  # a pretoken without end so far: its class of characters and its Piece
+
+    def feed(self, text: str) -> Iterator[str]:
+        for lo in range(0, len(text), self.block):
+            yield from self._specials(text[lo : lo + self.block], False)
+
+    def finish(self) -> Iterator[str]:
+        yield from self._specials("", True)
+
+    def _specials(self, text: str, last: bool) -> Iterator[str]:
+        raw = self._raw + text
+        if self.table._special:
+            while found := self.table._special(raw):
+                if not last and found.start() + self._longest > len(raw):
+                    break  # a longer one may start here
+                yield from self._plain(raw[: found.start()], True)
+                yield str(self.table.special[found[0]])
+                raw = raw[found.end() :]
+        hold = 0 if last else min(len(raw), max(0, self._longest - 1))
+        self._raw = raw[len(raw) - hold :]
+        yield from self._plain(raw[: len(raw) - hold], last)
+
+    def _plain(self, text: str, last: bool) -> Iterator[str]:
+        """Text without special tokens; ``last`` ends it."""
+        text = self._text + text
+        self._text = ""
+        if self._open:
+            text = yield from self._continued(text, last)
+        if last:
+            if text:
+                yield self._settle(text)
+            return
+        if len(text) >= self.block:
+            if cut := _settled(text):
+                yield self._settle(cut[0])
+                text = text[cut.end() :]
+            if len(text) >= self.block:  # no place to cut: pretoken by pretoken, and the last one as it comes
+                text = yield from self._run(text)
+        self._text = text
+
+    def _run(self, text: str) -> Iterator[str]:
+        *done, tail = _pretoken_spans(text)
+        if len(done) > 2:  # what follows may still change the last two
+            start = done[-2].start()
+            yield ",".join(map(self._word.__getitem__, (x[0] for x in done[:-2])))
+            return text[start:]
+        if len(tail[0]) < self.block // 2:
+            return text
+        if done:
+            yield ",".join(map(self._word.__getitem__, (x[0] for x in done)))
+        kind = next(k for k in _runs if k.fullmatch(tail[0][-1]))
+        self._open = kind, Piece(self.table)
+        return (yield from self._continued(tail[0], False, lead=tail[0][0] == " " and kind is not _runs[3]))
+
+    def _continued(self, text: str, last: bool, lead: bool = False) -> Iterator[str]:
+        """Feed the open pretoken; returns the text behind it. Of white space the last character waits: it may go to a word."""
+        kind, piece = self._open
+        end = kind.match(text, int(lead))
+        cut = end.end() if end else 0
+        ended = cut < len(text) or last
+        if kind is _runs[3] and not (last and cut == len(text)):
+            cut = max(0, cut - 1)
+        ids = list(piece.feed(text[:cut].encode()))
+        if ended:
+            ids += piece.finish()
+            self._open = None
+        if ids:
+            yield ",".join(map(str, ids))
+        return text[cut:]
+
+    def _settle(self, block: str) -> str:
+        if _space_run(block):
+            return ",".join(map(self._chunk.__getitem__, _chunks(block)))
+        head, *rest = block.split(" ")
+        found = [self._chunk[head]] if head else []
+        return ",".join(found + list(map(self._chunk.__getitem__, [" " + x for x in rest])))
 
     def parts(self, text: str) -> Iterator[str]:
-        pieces = self.table._special(text) if self.table._special else [text]
-        for k, piece in enumerate(pieces):
-            if k % 2:
-                yield str(self.table.special[piece])
-                continue
-            for block in self.blocks(piece):
-                if not block:
-                    continue
-                if _space_run(block):
-                    yield ",".join(map(self._chunk.__getitem__, _chunks(block)))
-                else:
-                    head, *rest = block.split(" ")
-                    found = [self._chunk[head]] if head else []
-                    found += map(self._chunk.__getitem__, [" " + x for x in rest])
-                    yield ",".join(found)
+        yield from self.feed(text)
+        yield from self.finish()
 
     def encode(self, text: str) -> list[int]:
         return [int(x) for part in self.parts(text) for x in part.split(",")]

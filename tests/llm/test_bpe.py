@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +37,43 @@ def test_encodes_and_decodes_as_the_library(table, library):
         assert bpe.Decoder(table).decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("block", [16, 64, 1 << 16])
+def test_fed_in_pieces_the_ids_are_the_same(table, library, block):
+    r = random.Random(block)
+    encoder = bpe.Encoder(table, block=block)
+    for text in samples():
+        text = text[:6000]
+        ids, lo = [], 0
+        while lo < len(text):
+            n = r.choice((1, 2, 7, 100, 5000))
+            ids += [int(x) for part in encoder.feed(text[lo : lo + n]) for x in part.split(",")]
+            lo += n
+        ids += [int(x) for part in encoder.finish() for x in part.split(",")]
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("unit", ["theing", " ", "x y", "-=", "7", "<|endof", "\n\u3000"])
+def test_memory_does_not_grow_with_the_text(table, unit):
+    piece = unit * (50_000 // len(unit))
+
+    def peak(times):
+        encoder, decoder, held = bpe.Encoder(table, memo=1000), bpe.Decoder(table), 0
+        tracemalloc.start()
+        for _ in range(times):
+            for part in encoder.feed(piece):
+                decoder.feed(map(int, part.split(",")))
+            held = max(held, len(encoder._raw) + len(encoder._text) + (len(encoder._open[1]._data) if encoder._open else 0))
+        for _ in encoder.finish():
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert held <= 3 * bpe.BLOCK
+        return most
+
+    peak(2)
+    assert peak(24) < 1.5 * peak(6)
+
+
 def test_streamed_tokens_are_stable_with_the_least_window(table):
     r = random.Random(9)
     for _ in range(100):
