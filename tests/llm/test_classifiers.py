@@ -1,4 +1,7 @@
+import math
 import random
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -37,6 +40,43 @@ def test_toxic_words_are_found_gapped_and_whole(spark):
     assert sum(r.predicted for r in got) <= 6 and all(0 <= r.score <= 1 for r in got)
 
 
+def plain_features(word):
+    """Gapped subsequences of three characters in a span of 6 and of four in a span of 7, by definition."""
+    word, out = "^" + word + "$", Counter()
+    for size, span in ((3, 6), (4, 7)):
+        for places in combinations(range(len(word)), size):
+            if places[-1] - places[0] < span:
+                out["".join(word[i] for i in places), tuple(q - p for p, q in zip(places, places[1:]))] += 0.6 ** (places[-1] - places[0] + 1 - size)
+    return out
+
+
+def plain_kernel(a, b):
+    """Occurrences count by their characters, whatever their gaps."""
+    x, y = Counter(), Counter()
+    for out, word in ((x, a), (y, b)):
+        for (chars, _), v in plain_features(word).items():
+            out[chars] += v
+    norm = lambda w: math.sqrt(sum(v * v for v in occurrences(w)))
+    return sum(v * y[k] for k, v in x.items()) / norm(a) / norm(b)
+
+
+def occurrences(word):
+    n = len(word) + 2
+    for size, span in ((3, 6), (4, 7)):
+        for places in combinations(range(n), size):
+            if places[-1] - places[0] < span:
+                yield 0.6 ** (places[-1] - places[0] + 1 - size)
+
+
+def test_kernel_equals_a_plain_subsequence_kernel():
+    words = ["stupid", "st-upid", "stup1d", "sstupid", "moron", "m.o.r.o.n", "clean", "cleaner", "ab"]
+    got = toxicity.kernel(words, toxicity.explicit(words))
+    want = np.array([[plain_kernel(a, b) for b in words] for a in words])
+    apart = np.abs(got - want)  # zero but for features whose 15-bit hashes collide
+    assert np.median(apart) < 1e-6 and (apart > 1e-4).mean() < 0.1 and apart.max() < 0.1
+    assert want[0, 1] > 0.3 and want[0, 4] < 0.01
+
+
 def test_collapsed_weights_equal_the_kernel_machine():
     marks = ["stupid", "moron", "clean"]
     at = toxicity.explicit(marks)
@@ -46,6 +86,32 @@ def test_collapsed_weights_equal_the_kernel_machine():
     assert np.allclose(toxicity.weigh(some, (alpha @ at).astype(np.float32), 0.0), direct, atol=1e-4)
 
 
+def test_insults_of_two_words_are_found(spark):
+    r = random.Random(5)
+    rows = []
+    for i in range(900):
+        text = words(r, 30).split()
+        if i % 5 == 0:  # both words come in clean texts too, apart
+            text[10:10] = ["vile", "worm"]
+        elif i % 5 < 3:
+            text.insert(4, "vile")
+            text.insert(20, "worm")
+        rows.append((i, " ".join(text), int(i % 5 == 0)))
+    model = toxicity.train(rows)
+    assert {"vile", "worm"} <= model["phrase_words"]
+    test = [words(r, 9) + " vile worm " + words(r, 9), words(r, 9) + " vile. Worm " + words(r, 9), words(r, 9) + " vile " + words(r, 9)]
+    got = {x.doc_id: x.predicted for x in toxicity.toxicity(documents(spark, [(i, t, "en", "s") for i, t in enumerate(test)]), model).collect()}
+    assert got == {0: 1, 1: 0, 2: 0}
+
+
+def test_toxic_documents_that_are_held_out(spark):
+    got = queries.op5_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic"), "doc_id").filter("held_out")
+    n = {(r.toxic, r.predicted): r["count"] for r in got.groupBy("toxic", "predicted").count().collect()}
+    assert n[1, 1] >= 0.9 * (n[1, 1] + n.get((1, 0), 0))
+    assert n.get((0, 1), 0) <= 0.02 * (n[0, 0] + n.get((0, 1), 0))
+    print(n)
+
+
 def test_toxicity_edges(spark):
     model = toxicity.train([])
     got = toxicity.toxicity(documents(spark), model)
@@ -63,8 +129,6 @@ def test_languages_of_held_out_documents(spark):
 
 
 def test_probabilities_of_a_context_sum_to_one():
-    from collections import Counter
-
     model = langid.train({"a": Counter({"abab": 3, "ba": 2, "abc": 1}), "b": Counter({"cc": 4, "acb": 2})})
     for context in ("x", "ab", "ba", "zz"):
         probs = 0.0
