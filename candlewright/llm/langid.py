@@ -61,7 +61,7 @@ def counts_of(words: Counter) -> list[dict[str, float]]:
     starts: list[Counter] = [Counter() for _ in range(ORDER)]
     left: list[dict[str, set]] = [defaultdict(set) for _ in range(ORDER)]
     for word, n in words.items():
-        word = "^" + word[:200] + "$"
+        word = "^" + word + "$"
         for end in range(2, len(word) + 1):
             if end >= ORDER:
                 raw[word[end - ORDER : end]] += n
@@ -170,26 +170,32 @@ def totals(texts: list[str | None], model: dict, memo: dict, most: int) -> tuple
     return out[:, :-1], out[:, -1]
 
 
-def fit(docs: DataFrame, docs_per_language: int = 600, most_languages: int = 256, reject: float = 0.01) -> dict | None:
+def fit(docs: DataFrame, docs_per_language: int = 600, reject: float = 0.01, longest: int = 200_000) -> dict | None:
     """Train on a bounded sample of rows that are not held out: per language those of least hash, whole texts.
 
-    A fifth of the sample calibrates. Languages beyond the ``most_languages`` most frequent are not learned.
+    Every language is learned; of one with five documents or more in the sample a fifth calibrates instead. Null texts,
+    languages and ids are ignored, as are texts of over ``longest`` characters, which bounds what the driver holds for each
+    language; of texts that share id and language the least counts. No usable row gives None.
     """
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).filter(~held_out(F.col("doc_id").cast("bigint")))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.char_length("text") <= longest)).filter(~held_out(F.col("doc_id").cast("bigint")))
+    sizes = known.groupBy("lang").count().collect()
     if not sizes:
         return None
     # a hash threshold per language draws about docs_per_language rows, the same for every layout of the table
-    chance = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, docs_per_language / r["count"])))])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1_000_000) * F.element_at(chance, F.col("lang"))
-    rows = known.filter(draw).select("doc_id", "lang", "text").collect()
-    rows = sorted(((r["doc_id"], r["lang"], r["text"]) for r in rows), key=lambda r: (r[0], r[1], r[2]))
-    kept = [(x, t) for i, (_, x, t) in enumerate(rows) if i % 5 == 0]
-    words: dict[str, Counter] = defaultdict(Counter)
-    for i, (_, lang, text) in enumerate(rows):
-        if i % 5 or len(rows) < 50:
-            words[lang].update(_letters(text.lower()))
-    words = {x: c for x, c in words.items() if c}
+    rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, docs_per_language / r["count"])) for r in sizes], "lang string, rate double")
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(1_000_000) * F.col("rate")
+    drawn = known.join(F.broadcast(rates), "lang").filter(draw).groupBy("lang", F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.min("text").alias("text"))
+    by_lang: dict[str, list] = defaultdict(list)
+    for r in drawn.collect():
+        by_lang[r["lang"]].append((r["doc_id"], r["text"]))
+    kept, words = [], {}
+    for lang, rows in sorted(by_lang.items()):
+        rows.sort()
+        held = set(range(0, len(rows), 5)) if len(rows) >= 5 else set()
+        kept += [(lang, rows[i][1]) for i in sorted(held)]
+        counts = Counter(w for i, (_, t) in enumerate(rows) if i not in held for w in _letters(t.lower()))
+        if counts:
+            words[lang] = counts
     if not words:
         return None
     model = train(words)

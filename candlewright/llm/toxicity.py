@@ -327,12 +327,18 @@ def train(rows: list[tuple[int, str | None, int]], landmarks: int = 400, hard: i
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = 1000, clean_docs: int = 2000) -> dict:
-    """Train on a bounded sample of labelled rows that are not held out: those of least hash, whole texts."""
+def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = 1000, clean_docs: int = 2000, longest: int = 200_000) -> dict:
+    """Train on a bounded sample of labelled rows that are not held out: those of least hash, whole texts.
+
+    Null labels and ids are ignored; an id labelled both ways counts on both sides; of texts that share an id the least
+    counts; texts of over ``longest`` characters are not learned from, which bounds what the driver holds. Empty tables
+    give a model that finds nothing.
+    """
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).distinct()
     sides = [known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, toxic_docs), (0, clean_docs))]
     sample = sides[0].unionByName(sides[1])  # toxic_docs + clean_docs rows of two numbers: small enough to broadcast
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").collect()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(F.coalesce(F.char_length("text"), F.lit(0)) <= longest)
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     return train([(r["doc_id"], r["text"], r["toxic"]) for r in rows])
 
 

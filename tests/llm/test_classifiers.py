@@ -128,27 +128,81 @@ def test_languages_of_held_out_documents(spark):
     assert got.filter("score NOT BETWEEN 0 AND 1").isEmpty()
 
 
-def test_probabilities_of_a_context_sum_to_one():
-    model = langid.train({"a": Counter({"abab": 3, "ba": 2, "abc": 1}), "b": Counter({"cc": 4, "acb": 2})})
-    for context in ("x", "ab", "ba", "zz"):
-        probs = 0.0
-        for last in "abc$":
-            word = context + last if last != "$" else context
-            cost, n = langid.entropies([context + ("" if last == "$" else last)], model)
-            before = sum_until(model, context)
-            end = sum_until(model, word) if last != "$" else cost[0]
-            probs = probs + np.exp(-(end - before))
-        assert np.all(probs <= 1 + 1e-5)
+LANGS = {"a": Counter({"abab": 3, "ba": 2, "abc": 1, "cab": 2, "a" * 300: 1}), "b": Counter({"cc": 4, "acb": 2, "bcc": 1, "ccbcbca": 1})}
+
+
+def plain_kneser_ney(words, letters):
+    """p(c, h) of interpolated Kneser-Ney from plain dictionaries: raw counts at the top order and at the start of words."""
+    grams = [Counter() for _ in range(5)]
+    left = [{} for _ in range(5)]
+    for word, n in words.items():
+        word = "^" + word + "$"
+        for end in range(2, len(word) + 1):
+            for k in range(1, min(4, end) + 1):
+                gram = word[end - k : end]
+                if k == 4 or end == k:
+                    grams[k][gram] += n
+                else:
+                    left[k].setdefault(gram, set()).add(word[end - k - 1])
+    for k in (1, 2, 3):
+        grams[k].update({g: len(x) for g, x in left[k].items()})
+    discount = {}
+    for k in range(1, 5):
+        ones, twos = (sum(v == i for v in grams[k].values()) for i in (1, 2))
+        discount[k] = ones / (ones + 2 * twos) if ones and twos else 0.5
+
+    def p(c, h):
+        lower = p(c, h[1:]) if h else 1 / (letters + 1)
+        k = len(h) + 1
+        after = {g: v for g, v in grams[k].items() if g[:-1] == h}
+        if not after:
+            return lower
+        total = sum(after.values())
+        return max(grams[k][h + c] - discount[k], 0) / total + discount[k] * len(after) / total * lower
+
+    return p
+
+
+def test_probabilities_equal_those_of_plain_kneser_ney_and_sum_to_one():
+    model = langid.train(LANGS)
+    plain = [plain_kneser_ney(LANGS[x], 4) for x in model["langs"]]
+    for context in ("", "x", "ab", "ba", "zz", "abab", "ccb", "bcc", "aaaa"):
+        before, total = sum_until(model, context), 0.0
+        for last in "abc$?":  # "?" stands for all that was never seen
+            got = np.exp(before - sum_until(model, context + last))
+            want = np.array([p(last, ("^" + context)[-3:]) for p in plain])
+            assert np.allclose(got, want, rtol=1e-4), (context, last)
+            total = total + got
+        assert np.allclose(total, 1, atol=1e-4)
+
+
+def test_languages_equal_the_brute_force_choice(spark):
+    r = random.Random(8)
+    model = langid.train(LANGS)
+    plain = [plain_kneser_ney(LANGS[x], 4) for x in model["langs"]]
+    texts = [" ".join("".join(r.choice("abc") for _ in range(r.randint(1, 9))) for _ in range(r.randint(1, 6))) for _ in range(60)] + ["abc" * 40 + " cc"]
+    cost = lambda p, w: -sum(math.log(p(w[i], w[max(0, i - 3) : i])) for i in range(1, len(w)))
+    want = {i: model["langs"][min(range(2), key=lambda k: sum(cost(plain[k], f"^{w}$") for w in t.split()))] for i, t in enumerate(texts)}
+    got = {x.doc_id: x.lang_pred for x in langid.language(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]), model).collect()}
+    assert got == want
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "the cat and the dog ran over the hill " * 3, "en", "s") for i in range(400)] + [(1001 + i, "zyx wvu zyx qqq wvu " * 4, f"rare{i}", "s") for i in range(300) if not held(1001 + i)]
+    model = langid.fit(documents(spark, rows))
+    assert len(model["langs"]) == 1 + len({x[2] for x in rows if x[2] != "en"})
 
 
 def sum_until(model, prefix):
     """Cost of the characters of a word's beginning: that of the word with every end, less the end."""
-    codes = langid.coded(["^" + prefix])
+    codes = np.frombuffer(("^" + prefix).encode("utf-32-le"), np.uint32).reshape(1, -1)
     size = len(prefix) + 1
     row, col = np.zeros(size - 1, int), np.arange(1, size)
     log = np.tile(model["base"], (len(row), 1))
     for n, (keys, values, contexts, weights) in enumerate(model["levels"], 1):
         use = np.nonzero(col >= n - 1)[0]
+        if not len(use) or codes.shape[1] < n:
+            continue
         at, there = langid.find(keys, langid.hashes(codes, n)[row[use], col[use] - n + 1])
         if n > 1:
             has, known = langid.find(contexts, langid.hashes(codes, n - 1)[row[use], col[use] - n + 1])
