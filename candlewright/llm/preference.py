@@ -17,7 +17,10 @@ def head(role: Column) -> Column:
 
 
 def turns_of(conversations: DataFrame, pair_id: Column, side: Column) -> DataFrame:
-    """(pair_id, side, turn, said): one row per turn; of rows that repeat a turn the least (role, text) counts."""
+    """(pair_id, side, turn, said): one row per turn; of rows that repeat a turn the least (role, text) counts.
+
+    Rows of a null conv_id or turn belong to no conversation and are left out; a null role or text is empty.
+    """
     said = F.struct(F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = conversations.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
     return rows.select(pair_id.alias("pair_id"), side.alias("side"), F.col("turn").cast("bigint").alias("turn"), said.alias("said")).groupBy("pair_id", "side", "turn").agg(F.min("said").alias("said"))
@@ -62,7 +65,24 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
     return out.drop("nc", "nr", "rest")
 
 
+def reply_pairs(conversations: DataFrame) -> DataFrame:
+    """Turns of one pair per conversation, pair_id its conv_id: its last reply against one to another conversation.
+
+    chosen is the conversation up to its last assistant turn, rejected the same turns with the last reply of the
+    conversation that differs in the lowest bit of the id. A conversation without an assistant turn is chosen as it is; it, and one
+    whose partner has none, has no rejected side. Repeated turns, nulls and empty tables are as in turns_of.
+    """
+    said = turns_of(conversations, F.col("conv_id").cast("bigint"), F.lit("chosen"))
+    replies = said.filter("said.role = 'assistant'").groupBy("pair_id").agg(F.max(F.struct("turn", "said.text")).alias("r")).select("pair_id", F.col("r.turn").alias("last"), F.col("r.text").alias("reply"))
+    others = replies.select(F.col("pair_id").bitwiseXOR(F.lit(1).cast("bigint")).alias("pair_id"), F.col("reply").alias("other"))
+    rows = said.join(replies.select("pair_id", "last"), "pair_id", "left").join(others, "pair_id", "left")
+    swapped = F.when(F.col("turn") == F.col("last"), F.struct(F.lit("assistant").alias("role"), F.col("other").alias("text"))).otherwise(F.col("said"))
+    chosen = rows.filter("last IS NULL OR turn <= last").select("pair_id", "side", "turn", "said")
+    rejected = rows.filter("other IS NOT NULL AND turn <= last").select("pair_id", F.lit("rejected").alias("side"), "turn", swapped.alias("said"))
+    return chosen.unionByName(rejected)
+
+
 def neighbours(conversations: DataFrame) -> DataFrame:
-    """Turns with conversations 2k (chosen) and 2k + 1 (rejected) as pair k."""
+    """Turns of given pairs: conversations 2k (chosen) and 2k + 1 (rejected) are pair k. Edge cases as in turns_of."""
     conv = F.col("conv_id").cast("bigint")
     return turns_of(conversations, F.floor(conv / 2).cast("bigint"), F.when(F.pmod(conv, F.lit(2)) == 0, "chosen").otherwise("rejected"))

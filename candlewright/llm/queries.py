@@ -13,7 +13,7 @@ from .langid import fit as fit_languages
 from .langid import language
 from .licenses import scan_licenses
 from .mixing import mix
-from .preference import neighbours, preference_pairs
+from .preference import preference_pairs, reply_pairs
 from .quality import quality_rules
 from .simhash import simhash_components
 from .toxicity import fit as fit_toxicity
@@ -36,7 +36,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preference_pairs(neighbours(table(spark, sf_dir, "conversations")))
+    return preference_pairs(reply_pairs(table(spark, sf_dir, "conversations")))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +82,13 @@ LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefgh
 
 ORACLES = {
     "op2_chat_preference": """
-        WITH t AS (SELECT conv_id // 2 AS pair_id, CASE WHEN conv_id % 2 = 0 THEN 'c' ELSE 'r' END AS side, turn,
-                          min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS said
+        WITH u AS (SELECT conv_id AS pair_id, turn, min({'role': coalesce(role, ''), 'text': coalesce(text, '')}) AS said
                    FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+        l AS (SELECT pair_id, max(turn) AS last, arg_max(said.text, turn) AS reply FROM u WHERE said.role = 'assistant' GROUP BY pair_id),
+        w AS (SELECT u.*, l.last, d.reply AS other FROM u LEFT JOIN l USING (pair_id) LEFT JOIN l d ON d.pair_id = xor(u.pair_id, 1)),
+        t AS (SELECT pair_id, 'c' AS side, turn, said FROM w WHERE last IS NULL OR turn <= last
+              UNION ALL
+              SELECT pair_id, 'r', turn, CASE WHEN turn = last THEN {'role': 'assistant', 'text': other} ELSE said END FROM w WHERE other IS NOT NULL AND turn <= last),
         x AS (SELECT *, '<|im_start|>' || said.role || chr(10) || said.text || '<|im_end|>' || chr(10) AS whole,
                      length('<|im_start|>' || said.role) + 1 AS a, length(said.text) + 11 AS b FROM t),
         y AS (SELECT *, CASE WHEN said.role = 'assistant' THEN a || '-' || b || '+' ELSE (a + b) || '-' END AS mask FROM x),

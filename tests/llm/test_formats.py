@@ -28,6 +28,20 @@ def test_longest_common_prefix_and_masks(spark):
     assert preference.preference_pairs(preference.neighbours(turns(spark, rows).limit(0))).count() == 0
 
 
+def test_replies_share_their_prompt(spark):
+    rows = [(4, 0, "user", "Hi"), (4, 1, "assistant", "A"), (4, 2, "user", "More"), (4, 3, "assistant", "B"), (4, 4, "user", "bye"), (5, 0, "user", "Yo"), (5, 1, "assistant", "C")]
+    rows += [(6, 0, "user", "no reply"), (7, 0, "user", "q"), (7, 1, "assistant", "D"), (10, 0, "assistant", "same"), (11, 0, "assistant", "same"), (11, 0, "assistant", "same"), (None, 0, "user", "x"), (12, None, "user", "x"), (-1, 0, None, None)]
+    got = {r.pair_id: r for r in preference.preference_pairs(preference.reply_pairs(turns(spark, rows))).collect()}
+    say = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
+    assert set(got) == {4, 5, 6, 7, 10, 11, -1}
+    assert got[4].n_prompt_turns == 3 and got[4].prompt == say("user", "Hi") + say("assistant", "A") + say("user", "More")
+    assert (got[4].chosen, got[4].rejected) == (say("assistant", "B"), say("assistant", "C"))
+    assert (got[5].n_prompt_turns, got[5].chosen, got[5].rejected) == (1, say("assistant", "C"), say("assistant", "B"))
+    assert got[6].rejected is None and got[7].rejected is None and got[-1].rejected is None and got[7].chosen == say("user", "q") + say("assistant", "D")
+    assert (got[10].n_prompt_turns, got[10].chosen, got[10].rejected) == (1, "", "")
+    assert preference.preference_pairs(preference.reply_pairs(turns(spark, rows).limit(0))).count() == 0
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
@@ -95,10 +109,55 @@ def test_mixing_meets_its_targets(spark):
         assert abs(got[s] - repeat[s] * tokens[s]) <= 41
         assert max(copies[s].values()) - min(copies[s].values()) <= 1
     assert set(copies[""]) == {d for d, _, _, s in rows if s is None} and sum(map(len, copies.values())) == len(rows)
-    # the partial pass is a prefix of the source's permutation
-    last = [x for x in out if x.source == "c" and x.mix_epoch == plan["c"].whole]
-    whole = sorted((x for x in out if x.source == "c" and x.mix_epoch == 0), key=lambda x: (x.mix_block_key, x.mix_document_key))
-    assert 0 < len(last) < len(whole)
+    assert_partial_passes(docs, plan, out)
+
+
+def assert_partial_passes(docs, plan, out):
+    """The last pass of each source is what a plain walk over its permutation emits: groups, blocks, then documents that fit."""
+    rows = mixing.keyed(docs, 1)
+    for s, p in plan.items():
+        if not p.tokens:
+            continue
+        epoch = F.lit(p.whole).cast("bigint")
+        mine = rows.filter(F.col("_source") == s).withColumn("_block", mixing.block_of(F.lit(p.groups), F.lit(p.blocks), 1))
+        found = mine.select("_row.doc_id", "_tokens", mixing.block_key(epoch, 1).alias("bk"), mixing.document_key(epoch, 1).alias("dk")).collect()
+        room, want = due_of(plan, s) - p.whole * p.tokens, set()
+        for level in (lambda x: x.bk >> 32, lambda x: x.bk, lambda x: x.dk):
+            parts = defaultdict(list)
+            for x in found:
+                parts[level(x)].append(x)
+            for key in sorted(parts):
+                n = sum(x._tokens for x in parts[key])
+                if n > room:
+                    found = parts[key]
+                    break
+                room -= n
+                want.update(x.doc_id for x in parts[key])
+            else:
+                break
+        got = [x for x in out if (x.source or "") == s and x.mix_epoch == p.whole]
+        assert {x.doc_id for x in got} == want and len(got) == len(want)
+
+
+def due_of(plan, source):
+    """Tokens due to a source when the largest one gets a single pass."""
+    largest = max(plan.values(), key=lambda p: p.tokens)
+    due = plan[source].weight * largest.tokens / largest.weight
+    whole = plan[source].whole * plan[source].tokens
+    return max(due, whole)
+
+
+def test_many_blocks_in_few_groups(spark):
+    docs = documents(spark, [(i, "w " * (1 + i % 17), "en", "a" if i % 3 else "b") for i in range(3000)])
+    options = {"block_tokens": 40, "most_groups": 8, "budget": 21_000.0}
+    plan = {r._source: r for r in mixing.mixing_plan(docs, **options).collect()}
+    assert all(p.groups == 8 and p.blocks > 8 for p in plan.values())
+    out = mixing.mix(docs, **options).collect()
+    assert 21_000 - 2 * 17 <= sum(x.mix_tokens for x in out) <= 21_000
+    for s in "ab":
+        mine = [x for x in out if x.source == s]
+        assert len({x.mix_block_key for x in mine}) > 100
+        assert all(x.mix_epoch <= plan[s].whole for x in mine)
 
 
 def test_mixing_edges(spark):
