@@ -8,7 +8,8 @@ partner on the left, so just these are copied there as well. Hence any linked pa
 64-bit distance decides.
 
 The top of each tree is fitted on a bounded sample of fingerprints and cuts all of them into shards of about
-``shard_rows``; each shard grows its own subtree in one task. A leaf reports a spanning star of each of its groups, never
+``shard_rows``; each shard grows its own subtree in one task. Where no cut on its half helps, as among fingerprints that agree
+there, a node is cut by the other half, on which linked pairs differ in up to r bits. A leaf reports a spanning star of each of its groups, never
 all pairs, and components of these stars give the result.
 """
 
@@ -83,29 +84,43 @@ def choose(values: np.ndarray, shift: int, radius: int, tries: int = 5) -> tuple
     return None if best is None or best[0] > 0.9 * len(probe) else best[1:]
 
 
-def grow(sample: np.ndarray, shift: int, radius: int, depth: int, fewest: int) -> dict:
-    """The top of a tree: nested {v, t, l, r}, leaves empty."""
-    cut = choose(sample, shift, radius) if depth and len(sample) > fewest else None
+def choose_half(values: np.ndarray, shift: int, within: int) -> tuple[int, int, int, int] | None:
+    """(vantage point, boundary, shift, radius) of a cut on this half, or else on the other one."""
+    for half, radius in ((shift, within // 2), (HALVES[0] + HALVES[1] - shift, within)):
+        cut = choose(values, half, radius)
+        if cut is not None:
+            return int(cut[0]), cut[1], half, radius
+    return None
+
+
+def sides_of(values: np.ndarray, cut: tuple[int, int, int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Which values go left, and which right."""
+    vantage, boundary, shift, radius = cut
+    d = distance(values, np.uint64(vantage), shift)
+    return d <= boundary + radius, d > boundary
+
+
+def grow(sample: np.ndarray, shift: int, within: int, depth: int, fewest: int) -> tuple | None:
+    """The top of a tree: nested (cut, left, right), None for a leaf."""
+    cut = choose_half(sample, shift, within) if depth and len(sample) > fewest else None
     if cut is None:
-        return {}
-    d = distance(sample, cut[0], shift)
-    sides = sample[d <= cut[1] + radius], sample[d > cut[1]]
-    left, right = (grow(x, shift, radius, depth - 1, fewest) for x in sides)
-    return {"v": int(cut[0]), "t": cut[1], "l": left, "r": right}
+        return None
+    left, right = (grow(sample[x], shift, within, depth - 1, fewest) for x in sides_of(sample, cut))
+    return cut, left, right
 
 
-def shards_of(values: np.ndarray, node: dict, shift: int, radius: int, name: str = "") -> list[tuple[str, np.ndarray]]:
+def shards_of(values: np.ndarray, node: tuple | None, name: str = "") -> list[tuple[str, np.ndarray]]:
     """(shard, indices of the values that belong to it or to its boundary)."""
     out, stack = [], [(node, np.arange(len(values)), name)]
     while stack:
         node, at, name = stack.pop()
         if not len(at):
             continue
-        if not node:
+        if node is None:
             out.append((name, at))
             continue
-        d = distance(values[at], np.uint64(node["v"]), shift)
-        stack += [(node["l"], at[d <= node["t"] + radius], name + "l"), (node["r"], at[d > node["t"]], name + "r")]
+        left, right = sides_of(values[at], node[0])
+        stack += [(node[1], at[left], name + "l"), (node[2], at[right], name + "r")]
     return out
 
 
@@ -136,15 +151,15 @@ def leaf_stars(values: np.ndarray, within: int) -> list[tuple[np.uint64, np.ndar
     return out
 
 
-def shard_stars(values: np.ndarray, shift: int, radius: int, within: int) -> tuple[np.ndarray, np.ndarray]:
+def shard_stars(values: np.ndarray, shift: int, within: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges (root, member) that connect all values of a shard that are linked within it."""
     roots, members, stack = [], [], [values]
     while stack:
         part = stack.pop()
-        cut = choose(part, shift, radius) if len(part) > LEAF else None
+        cut = choose_half(part, shift, within) if len(part) > LEAF else None
         if cut is not None:
-            d = distance(part, cut[0], shift)
-            stack += [part[d <= cut[1] + radius], part[d > cut[1]]]
+            left, right = sides_of(part, cut)
+            stack += [part[left], part[right]]
             continue
         for root, others in leaf_stars(part, within):
             roots.append(np.full(len(others), root))
@@ -153,28 +168,29 @@ def shard_stars(values: np.ndarray, shift: int, radius: int, within: int) -> tup
     return np.concatenate(roots or [empty]), np.concatenate(members or [empty])
 
 
-def fingerprint_links(nodes: DataFrame, within: int = 3, shard_rows: int = 4096, sample_rows: int = 32_768, most_shards: int = 4096) -> DataFrame:
+def fingerprint_links(nodes: DataFrame, within: int = 3, shard_rows: int = 4096, sample_rows: int = 32_768, most_depth: int = 16) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp) at ``within`` bits or fewer; their components are exact.
 
-    The sample for the tops of the trees is the ``sample_rows`` fingerprints of least hash; all are indexed.
+    The sample for the tops of the trees is the ``sample_rows`` fingerprints of least hash, or eight for each shard if that
+    is more; all fingerprints are indexed. No fingerprints give no edges. There are 2^``most_depth`` shards or so at most, each
+    of which then grows: of 10^12 fingerprints a shard has some 10^8 bytes.
     """
-    radius = within // 2
     n = nodes.count()
-    picked = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    depth = max(0, int(np.ceil(np.log2(max(1, min(n / shard_rows, most_shards))))))
-    tops = [grow(picked, shift, radius, 2 * depth, max(1, len(picked) >> depth)) for shift in HALVES]
+    depth = min(most_depth, max(0, int(np.ceil(np.log2(max(1, n / shard_rows))))))
+    picked = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(max(sample_rows, 8 << depth)).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    tops = [grow(picked, shift, within, 2 * depth, max(1, len(picked) >> depth)) for shift in HALVES]
 
     def deal(batches):
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for shift, top in zip(HALVES, tops):
-                for name, at in shards_of(values, top, shift, radius):
+                for name, at in shards_of(values, top):
                     yield pa.RecordBatch.from_arrays([pa.array([f"{shift}{name}"] * len(at)), pa.array(values[at].view(np.int64))], names=["shard", "fp"])
 
     def search(key, table):
         values = table.column("fp").combine_chunks().to_numpy(zero_copy_only=False).view(np.uint64)
         shift = 32 if key[0].as_py().startswith("32") else 0
-        a, b = shard_stars(values, shift, radius, within)
+        a, b = shard_stars(values, shift, within)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     dealt = nodes.select("fp").mapInArrow(deal, "shard string, fp bigint")

@@ -66,6 +66,24 @@ def test_links_are_exact_over_many_shards_and_a_dense_ball(spark):
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want.values()))
 
 
+def test_fingerprints_that_agree_on_a_half_are_cut_on_the_other():
+    rng = np.random.default_rng(3)
+    high = rng.integers(0, 2**32, 6000, dtype=np.uint64)
+    high = np.concatenate([high, high[:900] ^ (np.uint64(1) << rng.integers(0, 32, 900, dtype=np.uint64))])
+    values = np.unique((high << np.uint64(32)) | np.uint64(12345))
+    top = simhash.grow(values, 0, 3, 12, 64)
+    shards = simhash.shards_of(values, top)
+    assert len(shards) > 8 and max(len(x) for _, x in shards) < len(values) // 2
+    want = slow_components(dict(enumerate(values.tolist())))
+    parent = list(range(len(values)))
+    at = {int(v): i for i, v in enumerate(values)}
+    for _, rows in shards:
+        for u, v in zip(*simhash.shard_stars(values[rows], 0, 3)):
+            a, b = find(parent, at[int(u)]), find(parent, at[int(v)])
+            parent[max(a, b)] = min(a, b)
+    assert all(find(parent, i) == want[i] for i in range(len(values)))
+
+
 def test_edge_cases(spark):
     rows = [(5, None), (3, ""), (4, " \t\n"), (1, "One two"), (2, "one TWO"), (2, "one TWO"), (9, "É é one")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("fp", F.lit("clash"))
