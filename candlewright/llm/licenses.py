@@ -5,7 +5,8 @@ gaps between its members, and before and behind, are aligned in the same way unt
 ends of a gap match as well. Coverage is the share of a template's words that are matched.
 
 A text is searched in regions: runs of the template's telling words (no stop words) with less than a template's length
-between neighbours, widened by that length. A notice that comes twice thus stands alone in each region.
+between neighbours. A run is tried whole and, as a notice may come twice in it, in pieces that end where a telling word comes
+more often than in the template; a piece reaches no further than the next one begins. Of overlapping finds the best covered stays.
 """
 
 from __future__ import annotations
@@ -17,16 +18,39 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Texts of license notices.
+#: Texts and headers of public licenses.
 TEMPLATES = {
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-disclaimer": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-4.0-long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "GFDL-1.3": "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation.",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.",
+    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
     "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "BSD-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "MIT": "Released under the MIT License.",
+    "MIT-notice": "This project is licensed under the MIT License - see the LICENSE file for details.",
+    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "MIT-disclaimer": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "WTFPL": "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions.",
 }
+#: License identifiers that a tag may name.
+TAGGED = "AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-2.0 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only MIT MPL-2.0 Unlicense Zlib".split()
+TEMPLATES |= {f"SPDX:{name}": f"SPDX-License-Identifier: {name}" for name in TAGGED}
 STOP = frozenset("a an and any are as at be by for from in is it no of on or that the this to under with without".split())
 
 _words = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*").findall
@@ -79,42 +103,56 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def regions(words: list[str], telling: frozenset[str], length: int) -> list[tuple[int, int]]:
-    hits = [i for i, w in enumerate(words) if w in telling]
-    out: list[list[int]] = []
-    for i in hits:
-        # a telling word that comes again ends its region: a second notice begins
-        if out and i - out[-1][1] <= length and words[i] not in out[-1][2]:
-            out[-1][1] = i
-            out[-1][2].add(words[i])
-        else:
-            out.append([i, i, {words[i]}])
-    return [(max(0, lo - length), min(len(words), hi + length + 1)) for lo, hi, _ in out]
+def regions(words: list[str], telling: Counter, length: int) -> set[tuple[int, int]]:
+    """Runs of telling words, and their pieces in which none comes more often than ``telling`` says, widened by the length."""
+    runs: list[list[int]] = []
+    pieces: list[list[int]] = []
+    seen: Counter = Counter()
+    for i, w in enumerate(words):
+        if w not in telling:
+            continue
+        fresh = not runs or i - runs[-1][1] > length
+        if fresh:
+            runs.append([i, i])
+        runs[-1][1] = i
+        if fresh or seen[w] >= telling[w]:
+            pieces.append([i, i])
+            seen = Counter()
+        pieces[-1][1] = i
+        seen[w] += 1
+    widen = lambda lo, hi, least, most: (max(least, lo - length), min(most, hi + length + 1))
+    out = {widen(lo, hi, 0, len(words)) for lo, hi in runs}
+    if len(pieces) > len(runs):
+        ends = [(0, -1), *map(tuple, pieces), (len(words), len(words))]
+        out |= {widen(lo, hi, before + 1, after) for (_, before), (lo, hi), (after, _) in zip(ends, ends[1:], ends[2:])}
+    return out
 
 
 class Scanner:
     def __init__(self, templates: dict[str, str], least: float):
-        self.templates = [(name, words, frozenset(words) - STOP) for name, t in sorted(templates.items()) if (words := words_of(t))]
-        self.any = frozenset().union(*(x for _, _, x in self.templates))
+        self.templates = [(name, words, Counter(w for w in words if w not in STOP) or Counter(words)) for name, t in sorted(templates.items()) if (words := words_of(t))]
+        self.any = frozenset(w for _, words, _ in self.templates for w in words)
+        self.telling = frozenset(w for _, _, telling in self.templates for w in telling)
         self.least = least
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """(license, coverage, first word, last word) of each region covered to ``least``, by place; nested ones of less coverage go."""
+        """(license, coverage, first word, last word) of each region covered to ``least``, by place; of overlapping finds the
+        best covered, then that of most words, then the shortest."""
         words = words_of(text)
         have = self.any.intersection(words)
-        found = []
-        for name, template, telling in self.templates if have else ():
-            if 2 * len(telling & have) < len(telling):
+        found = set()
+        for name, template, telling in self.templates if not have.isdisjoint(self.telling) else ():
+            # no alignment matches more of a template than the words of it that the text has
+            if sum(w in have for w in template) < self.least * len(template):
                 continue
             for lo, hi in regions(words, telling, len(template)):
                 matched = align(words[lo:hi], template)
                 if len(matched) >= self.least * len(template):
-                    found.append((name, len(matched) / len(template), lo + matched[0][0], lo + matched[-1][0]))
-        found.sort(key=lambda x: (-x[1], x[2] - x[3], x[2], x[0]))
+                    found.add((-len(matched) / len(template), -len(matched), matched[-1][0] - matched[0][0], lo + matched[0][0], name))
         kept: list[tuple[str, float, int, int]] = []
-        for x in found:
-            if all(x[3] < y[2] or y[3] < x[2] for y in kept):
-                kept.append(x)
+        for coverage, _, span, first, name in sorted(found):
+            if all(first + span < y[2] or y[3] < first for y in kept):
+                kept.append((name, -coverage, first, first + span))
         return sorted(kept, key=lambda x: x[2])
 
 
