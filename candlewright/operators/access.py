@@ -16,8 +16,16 @@ def in_time(*keys: str):
 
 
 def number_rows(candles: DataFrame) -> DataFrame:
-    """With ``row``, counted from 0 in each symbol and timeframe."""
-    return candles.withColumn("row", F.row_number().over(in_time()) - 1)
+    """With ``row``, counted from 0 in each symbol and timeframe.
+
+    Months are numbered apart; a month begins behind the rows of the months before it, whose counts are a small table.
+    """
+    dated = candles.withColumn("_month", F.trunc("open_time", "month"))
+    counts = dated.groupBy(*SERIES, "_month").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*SERIES).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    own = F.row_number().over(Window.partitionBy(*SERIES, "_month").orderBy("open_time"))
+    return dated.withColumn("row", own).join(offsets, [*SERIES, "_month"]).withColumn("row", (F.col("row") + F.col("_offset") - 1).cast("int")).select(*candles.columns, "row")
 
 
 def at(time: str):
@@ -44,9 +52,11 @@ def load(candles: DataFrame, start: str, end: str, columns: list[str] | None = N
         early = before.withColumn("_back", back).filter(F.col("_back") <= warmup).drop("_back").withColumn("is_warmup", F.lit(True))
         out = early.unionByName(trade)
         if strict:
-            n = F.count_if("is_warmup").over(Window.partitionBy(*SERIES))
+            # only the warm-up rows are counted; the counts are a row per series
+            counts = early.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("_n"))
+            n = F.coalesce("_n", F.lit(0))
             short = F.assert_true(n == warmup, F.concat(F.lit("warm-up rows of "), F.col("symbol"), F.lit(": "), n.cast("string")))
-            out = out.withColumn("is_warmup", F.when(short.isNull(), F.col("is_warmup")))
+            out = out.join(counts, SERIES, "left").withColumn("is_warmup", F.when(short.isNull(), F.col("is_warmup"))).drop("_n")
     if columns is not None:
         fixed = [*SERIES, "open_time", "close_time"]
         out = out.select(*fixed, *(c for c in columns if c not in fixed), "is_warmup")
@@ -149,6 +159,17 @@ def islands(candles: DataFrame, timeframe: str) -> DataFrame:
 
 
 def fingerprint(candles: DataFrame) -> DataFrame:
-    """An order-free fingerprint per symbol: rows, and the sum of 64-bit hashes of their values."""
-    values = [F.col(c).cast("string") for c in ("open_time", "open", "high", "low", "close", "volume", "trades")]
-    return candles.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*values).cast("decimal(38,0)")).alias("content"))
+    """Rows and content of each symbol: the SHA-256 of the digests of its months in order, each over its candles in order.
+
+    A candle is a line of open_time in microseconds and its values in 1e-8, parted by "|"; months and lines end in a line feed.
+    """
+    micros = F.unix_micros(F.col("open_time").cast("timestamp"))
+    values = [(F.col(c).cast("decimal(28,8)") * 100_000_000).cast("decimal(38,0)").cast("string") for c in ("open", "high", "low", "close", "volume")]
+    line = F.concat_ws("|", micros.cast("string"), *values, F.col("trades").cast("string"))
+    months = candles.groupBy("symbol", F.trunc("open_time", "month").alias("month")).agg(F.count(F.lit(1)).alias("rows"), digest_in_order(micros, line))
+    return months.groupBy("symbol").agg(F.sum("rows").alias("rows"), digest_in_order(F.col("month"), F.col("content")))
+
+
+def digest_in_order(order, text):
+    lines = F.array_sort(F.collect_list(F.struct(order.alias("o"), text.alias("t"))))
+    return F.sha2(F.concat(F.array_join(F.transform(lines, lambda x: x["t"]), "\n"), F.lit("\n")), 256).alias("content")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,10 +11,6 @@ from pyspark.sql.window import Window
 from candlewright.functions import bars
 from candlewright.operators.access import SERIES
 
-#: Rows that Wilder's recursion looks back on: what is older weighs less than a double can hold, (13/14)^511 < 1e-16.
-ATR_REACH = 525
-
-
 def series(*order: str):
     return Window.partitionBy(*SERIES).orderBy(*(order or ("row",)))
 
@@ -24,14 +22,29 @@ def with_true_range(candles: DataFrame) -> DataFrame:
 def with_atr(candles: DataFrame, length: int = 14) -> DataFrame:
     """Wilder's ATR: null before row length - 1, the mean of the first ``length`` true ranges there, then (prev * (length - 1) + tr) / length.
 
-    The recursion is folded over a bounded frame, so series of any length stay within one sliding window.
+    With q = (length - 1) / length the recursion is a weighted sum: q^(i - j) x_j over the rows j up to i, where x is the
+    seed and then tr / length. A series is cut into pieces of so many rows that q to that power is below 1e-34: in a
+    piece the sum is a running one, and of what went before only the last value of the piece before counts. So pieces
+    are sorted and summed apart, and the values that pieces hand on are a table of one row per piece.
     """
-    w = series().rowsBetween(-(ATR_REACH - 1), 0)
-    past = F.collect_list("tr").over(w)
-    seed = F.aggregate(F.slice("_past", 1, length), F.lit(0.0), lambda a, x: a + x) / length
-    rest = F.slice("_past", F.lit(length + 1), F.greatest(F.lit(0), F.size("_past") - length))
-    value = F.aggregate(rest, seed, lambda a, x: (a * (length - 1) + x) / length)
-    return with_true_range(candles).withColumn("_past", past).withColumn("atr", F.when(F.size("_past") >= length, value)).drop("_past")
+    if length == 1:
+        return with_true_range(candles).withColumn("atr", F.col("tr"))
+    q = (length - 1) / length
+    piece = max(length, math.ceil(80 / -math.log(q)))
+    key = [*SERIES, "_piece"]
+    place = F.col("row") - F.col("_piece") * piece
+    rows = candles.withColumn("_piece", F.floor(F.col("row") / piece).cast("bigint"))
+    own = Window.partitionBy(*key).orderBy("row")
+    last = rows.groupBy(*key).agg(F.max_by("close", "row").alias("_ended")).withColumn("_piece", F.col("_piece") + 1)
+    rows = rows.join(last, key, "left").withColumn("tr", bars.true_range(F.coalesce(F.lag("close").over(own), F.col("_ended"))).cast("double"))
+    seed = F.sum(F.when(F.col("row") < length, F.col("tr"))).over(own) / length
+    share = F.when(F.col("row") >= length, F.col("tr") / length).when(F.col("row") == length - 1, seed).otherwise(0.0)
+    power = lambda n: F.pow(F.lit(q), n.cast("double"))
+    rows = rows.withColumn("_share", share).withColumn("_own", power(place) * F.sum(F.col("_share") / power(place)).over(own))
+    handed = rows.groupBy(*key).agg(F.max_by("_own", "row").alias("_before")).withColumn("_piece", F.col("_piece") + 1)
+    out = rows.join(handed, key, "left")
+    value = F.col("_own") + F.coalesce(F.col("_before") * power(place + 1), F.lit(0.0))
+    return out.withColumn("atr", F.when(F.col("row") >= length - 1, value)).drop("_piece", "_ended", "_share", "_own", "_before")
 
 
 def exact_median(values: Column) -> Column:
@@ -66,7 +79,7 @@ def with_rolling(candles: DataFrame, lookback: int = 20, volume_rows: int = 50)
 
 def with_suffix_extremes(candles: DataFrame) -> DataFrame:
     """Highest high and lowest low of strictly later rows; null on the last."""
-    later = series().rowsBetween(1, Window.unboundedFollowing)
+    later = series(F.desc("row")).rowsBetween(Window.unboundedPreceding, -1)  # running extremes of the reversed series
     return candles.withColumns({"later_high": F.max("high").over(later), "later_low": F.min("low").over(later)})
 
 

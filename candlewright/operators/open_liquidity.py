@@ -24,8 +24,8 @@ MOST_DISTANCE, MOST_SPAN = 0.10, 0.20
 def candidates(numbered: DataFrame) -> DataFrame:
     """Two rows per candle, side HIGH and LOW: price, status, mitigation, chain and distance columns."""
     base = with_suffix_extremes(with_atr(numbered)).join(first_reaches(numbered), [*SERIES, "row"])
-    last = Window.partitionBy(*SERIES)
-    base = base.withColumns({"last_row": F.max("row").over(last), "final_close": F.max_by("close", "row").over(last)})
+    ends = numbered.groupBy(*SERIES).agg(F.max("row").alias("last_row"), F.max_by("close", "row").alias("final_close"))
+    base = base.join(ends, SERIES)
     side = lambda name, price, later, reach, close: F.struct(F.lit(name).alias("side"), F.col(price).alias("price"), F.col(later).alias("later"), F.col(reach).alias("reach"), F.col(close).alias("close_reach"))
     both = base.select("*", F.explode(F.array(side("HIGH", "high", "later_high", "reach_high", "close_reach_high"), side("LOW", "low", "later_low", "reach_low", "close_reach_low"))).alias("c"))
     high = F.col("c.side") == "HIGH"
@@ -34,7 +34,7 @@ def candidates(numbered: DataFrame) -> DataFrame:
     miss = F.when(high, F.col("c.price") - F.col("c.later")).otherwise(F.col("c.later") - F.col("c.price"))
     rows = both.select(
         *SERIES, "c.side", "row", "open_time", "close_time", "c.price", status.alias("status"), F.col("c.reach").alias("mitigation_row"), F.col("c.close_reach").alias("close_row"),
-        F.when(wick > 0, "WICK").otherwise("BODY").alias("origin"), wick.alias("wick"), "atr", "final_close", (F.col("last_row") - F.col("row")).alias("future_bars"),
+        F.when(wick > 0, "WICK").otherwise("BODY").alias("origin"), wick.alias("wick"), "atr", "final_close", (F.col("last_row") - F.col("row")).alias("future_bars"), (F.col("last_row") + 1).alias("all_bars"),
         ((status == OPEN) & ~bars.at_least_percent(miss, F.col("c.price"), NEAR_MISS) | ((status == OPEN) & (miss * 100 == F.col("c.price") * F.lit(NEAR_MISS).cast("decimal(8,4)")))).alias("near_miss"),
     )
     hit = numbered.select(*SERIES, F.col("row").cast("bigint").alias("mitigation_row"), F.struct("open", "high", "low", "close", "open_time").alias("m"))
@@ -43,7 +43,13 @@ def candidates(numbered: DataFrame) -> DataFrame:
     sign = F.when(up, 1).otherwise(-1)
     beyond = lambda c: sign * (F.col(f"m.{c}") - F.col("price"))
     reach = F.when(up, F.col("m.high")).otherwise(F.col("m.low"))
-    mechanism = F.when(F.col("m").isNull(), None).when(beyond("open") >= 0, "GAP").when(reach == F.col("price"), "EXACT").when(beyond("close") >= 0, "CLOSE").otherwise("WICK_REACH")
+    mechanism = (
+        F.when(F.col("m").isNull(), None)
+        .when(beyond("open") >= 0, "GAP_OPEN_AT_OR_BEYOND")
+        .when(reach == F.col("price"), "EXACT_EXTREME_TOUCH")
+        .when(beyond("close") >= 0, "CLOSE_AT_OR_BEYOND")
+        .otherwise("WICK_REACH")
+    )
     chain = Window.partitionBy(*SERIES, "side", "price")
     order = chain.orderBy("row")
     return rows.select(
@@ -56,7 +62,7 @@ def candidates(numbered: DataFrame) -> DataFrame:
 def observation_label(future_bars, all_bars):
     """Share of the history that has passed since: under 1, 5 and 20 percent, or more."""
     share = future_bars * 100
-    return F.when(share < all_bars, "VERY_SHORT").when(share < all_bars * 5, "SHORT").when(share < all_bars * 20, "MODERATE").otherwise("LONG")
+    return F.concat(F.when(share < all_bars, "VERY_LOW").when(share < all_bars * 5, "LOW").when(share < all_bars * 20, "MODERATE").otherwise("HIGH"), F.lit("_FUTURE_OBSERVATION"))
 
 
 def ranked_open(found: DataFrame) -> DataFrame:
@@ -74,6 +80,7 @@ def ranked_open(found: DataFrame) -> DataFrame:
             "rank_newest": order(F.desc("open_time"), "row"),
             "rank_wick": order(wick, "distance", "row"),
             "rank_observed": order(F.desc("future_bars"), "distance", "row"),
+            "observation": observation_label(F.col("future_bars"), F.col("all_bars")),
         }
     )
 

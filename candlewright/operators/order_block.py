@@ -7,10 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from candlewright.functions import bars
+from candlewright.operators import crossing
 from candlewright.operators.access import SERIES
 from candlewright.operators.features import series, with_rolling
+from candlewright.sources.scratch import settled
 
 DISPLACEMENT = "1.00"
+#: Width of a band of price, as a logarithm.
+BAND = 0.01
+#: What becomes of a pair, apart from its side's two outcomes.
+ORIGIN_DOJI, IMPULSE_DOJI, SAME_DIRECTION = "REJECTED_ORIGIN_DOJI", "REJECTED_IMPULSE_DOJI", "REJECTED_SAME_DIRECTION"
+QUALIFIED = {"BULLISH": "QUALIFIED_BULLISH_ORDER_BLOCK", "BEARISH": "QUALIFIED_BEARISH_ORDER_BLOCK"}
+BELOW = {"BULLISH": "REJECTED_BULLISH_DISPLACEMENT_BELOW_1_PERCENT", "BEARISH": "REJECTED_BEARISH_DISPLACEMENT_BELOW_1_PERCENT"}
+
+
+def by_side(labels: dict[str, str]):
+    return F.when(F.col("side") == "BULLISH", labels["BULLISH"]).otherwise(labels["BEARISH"])
 
 
 def pairs(numbered: DataFrame, displacement: str = DISPLACEMENT) -> DataFrame:
@@ -24,13 +36,11 @@ def pairs(numbered: DataFrame, displacement: str = DISPLACEMENT) -> DataFrame:
     moved = F.when(side == "BULLISH", F.col("n.close") - F.col("open")).when(side == "BEARISH", F.col("open") - F.col("n.close"))
     rows = rows.withColumns({"side": side, "moved": moved})
     label = (
-        F.when((F.col("origin_direction") == "DOJI") & (F.col("impulse_direction") == "DOJI"), "REJECTED_BOTH_DOJI")
-        .when(F.col("origin_direction") == "DOJI", "REJECTED_ORIGIN_DOJI")
-        .when(F.col("impulse_direction") == "DOJI", "REJECTED_IMPULSE_DOJI")
-        .when(F.col("side").isNull(), "REJECTED_SAME_DIRECTION")
-        .when(F.col("moved") <= 0, "REJECTED_NO_DISPLACEMENT")
-        .when(~bars.at_least_percent(F.col("moved"), F.col("open"), displacement), "REJECTED_SMALL_DISPLACEMENT")
-        .otherwise("QUALIFIED")
+        F.when(F.col("origin_direction") == "DOJI", ORIGIN_DOJI)
+        .when(F.col("impulse_direction") == "DOJI", IMPULSE_DOJI)
+        .when(F.col("side").isNull(), SAME_DIRECTION)
+        .when(bars.at_least_percent(F.col("moved"), F.col("open"), displacement), by_side(QUALIFIED))
+        .otherwise(by_side(BELOW))
     )
     return rows.withColumn("disposition", label)
 
@@ -38,7 +48,7 @@ def pairs(numbered: DataFrame, displacement: str = DISPLACEMENT) -> DataFrame:
 def blocks(numbered: DataFrame, displacement: str = DISPLACEMENT) -> DataFrame:
     """Qualified pairs with zone, rolling measures before the impulse, structure break and quality 0-100."""
     rolled = with_rolling(numbered).select(*SERIES, "row", "median_body", "mean_body", "highest_close", "lowest_close")
-    rows = pairs(numbered, displacement).filter("disposition = 'QUALIFIED'").select("*", F.col("n.row").alias("impulse_row"))
+    rows = pairs(numbered, displacement).filter(F.col("disposition").isin(*QUALIFIED.values())).select("*", F.col("n.row").alias("impulse_row"))
     rows = rows.join(rolled.withColumnRenamed("row", "impulse_row"), [*SERIES, "impulse_row"])
     up = F.col("side") == "BULLISH"
     body, impulse = bars.body().cast("double"), F.abs(F.col("n.close") - F.col("n.open")).cast("double")
@@ -51,38 +61,103 @@ def blocks(numbered: DataFrame, displacement: str = DISPLACEMENT) -> DataFrame:
     return rows.select(*SERIES, "side", "row", "impulse_row", "open_time", bars.body_low().alias("zone_lower"), bars.body_high().alias("zone_upper"), percent.alias("displacement_percent"), ratio20.alias("impulse_to_median"), ratio.alias("impulse_to_origin"), broke.alias("structure_break"), quality.alias("quality"), label.alias("quality_label"))
 
 
+def firsts(candles: DataFrame, b: DataFrame) -> DataFrame:
+    """(block key, event rows): the first later candle whose open, body or close passes a level of the block."""
+    up = F.col("side") == "BULLISH"
+    half = (F.col("zone_lower") + F.col("zone_upper")) / 2
+    inner = F.when(up, F.col("zone_lower")).otherwise(F.col("zone_upper"))
+    # below a bullish zone and above a bearish one: a price p beyond level x is -p >= -x (bullish) or p >= x, one unit more if strictly
+    sides = {"open": "open", "body": None, "close": "close"}
+    kinds = {}
+    for name, column in sides.items():
+        kinds[f"{name}_BULLISH"] = (column or bars.body_low(), -1)
+        kinds[f"{name}_BEARISH"] = (column or bars.body_high(), 1)
+    sign = F.when(up, -1).otherwise(1)
+    level = lambda x, strictly=0: sign * crossing.scaled(x) + strictly
+    sought = {"gap": ("open", level(inner, 1)), "midpoint": ("body", level_of_half(up, half)), "full": ("body", level(inner)), "invalid": ("close", level(inner, 1))}
+    out = None
+    for event, (name, at) in sought.items():
+        q = b.select(*SERIES, F.concat(F.lit(f"{name}_"), F.col("side")).alias("kind"), F.col("block_id").alias("id"), F.col("impulse_row").cast("bigint").alias("after"), at.cast("bigint").alias("level"), F.lit(event).alias("event"))
+        out = q if out is None else out.unionByName(q)
+    # one search for all four: the event is folded into the id
+    numbers = {e: i for i, e in enumerate(sought)}
+    coded = F.col("id") * len(numbers) + F.coalesce(*(F.when(F.col("event") == e, i) for e, i in numbers.items()))
+    hits = crossing.first_hits(crossing.points_of(candles, kinds), out.withColumn("id", coded).drop("event"))
+    event = F.pmod(F.col("id"), F.lit(len(numbers)))
+    return hits.groupBy(*SERIES, F.floor(F.col("id") / len(numbers)).alias("block_id")).agg(*(F.min(F.when(event == i, F.col("hit"))).alias(f"{e}_row") for e, i in numbers.items()))
+
+
+def level_of_half(up, half):
+    """The level of the middle of a zone, which may lie between two units: rounded away from where price comes from."""
+    units = half * 100_000_000
+    return F.when(up, -F.floor(units)).otherwise(F.ceil(units)).cast("bigint")
+
+
+def meetings(candles: DataFrame, b: DataFrame) -> DataFrame:
+    """(block_id, row, touch): every later candle whose range meets the zone, found by shared thousandth bands of price."""
+    band = lambda x: F.floor(F.log(x.cast("double")) / BAND)
+    spans = lambda lo, hi: F.explode(F.sequence(band(lo) - 1, band(hi) + 1))
+    zones = b.select(*SERIES, "block_id", "impulse_row", "zone_lower", "zone_upper", spans(F.col("zone_lower"), F.col("zone_upper")).alias("band"))
+    rows = candles.select(*SERIES, "row", "open", "high", "low", "close", spans(F.col("low"), F.col("high")).alias("band"))
+    met = zones.join(rows, [*SERIES, "band"]).filter(F.col("row") > F.col("impulse_row")).filter(bars.touches(F.col("zone_lower"), F.col("zone_upper")))
+    # a pair that shares several bands counts in the first of them
+    first = F.greatest(band(F.col("zone_lower")) - 1, band(F.col("low")) - 1)
+    return met.filter(F.col("band") == first).select(*SERIES, "block_id", "row", bars.body_touches(F.col("zone_lower"), F.col("zone_upper")).alias("touch"))
+
+
 def lifecycle(numbered: DataFrame, found: DataFrame) -> DataFrame:
     """Blocks with the first later rows of each event, touch episodes, status and excursions.
 
-    Later means after the impulse. A block meets every later candle of its series once, so the join is on the series with a row
-    condition and is reduced at once by block; scanning goes on after invalidation.
+    Later means after the impulse. Events by price are searched in pieces (``crossing.first_hits``), touches are joined by bands
+    of price, and excursions are greatest values between two rows, so no step pairs a block with all later candles.
     """
-    b = found.select(*SERIES, "side", F.col("row").alias("block_row"), "impulse_row", "zone_lower", "zone_upper")
-    later = numbered.join(b, SERIES).filter(F.col("row") > F.col("impulse_row"))
-    up, lo, hi = F.col("side") == "BULLISH", F.col("zone_lower"), F.col("zone_upper")
-    mid = (lo + hi) / 2
-    touch = bars.body_touches(lo, hi)
-    flags = {
-        "gap": F.when(up, F.col("open") < lo).otherwise(F.col("open") > hi),
-        "touch": touch,
-        "midpoint": F.when(up, bars.body_low() <= mid).otherwise(bars.body_high() >= mid),
-        "full": F.when(up, bars.body_low() <= lo).otherwise(bars.body_high() >= hi),
-        "invalid": F.when(up, F.col("close") < lo).otherwise(F.col("close") > hi),
-        "wick_only": bars.touches(lo, hi) & ~touch,
-    }
-    away = F.when(up, F.col("high") - hi).otherwise(lo - F.col("low"))
-    key = [*SERIES, "side", "block_row"]
-    marked = later.withColumns({f"_{k}": v for k, v in flags.items()} | {"_away": away})
-    marked = marked.withColumn("_run", F.col("row") - F.row_number().over(Window.partitionBy(*key, "_touch").orderBy("row")))
-    first = marked.groupBy(*key).agg(
-        *(F.min(F.when(F.col(f"_{k}"), F.col("row"))).alias(f"{k}_row") for k in flags), F.count(F.lit(1)).alias("later_bars"), F.count_if("_touch").alias("touch_bars"), F.count_if("_wick_only").alias("wick_only_bars"), F.count_distinct(F.when(F.col("_touch"), F.col("_run"))).alias("touch_episodes")
-    )
-    moved = marked.join(first.select(*key, "touch_row"), key)
-    before = F.col("touch_row").isNull() | (F.col("row") < F.col("touch_row"))
-    runs = moved.groupBy(*key).agg(F.max(F.when(before, F.col("_away"))).alias("excursion_before"), F.max(F.when(F.col("row") > F.col("touch_row"), F.col("_away"))).alias("excursion_after"))
-    all_ = found.withColumnRenamed("row", "block_row").join(first, key, "left").join(runs, key, "left")
+    candles = settled(numbered.select(*SERIES, F.col("row").cast("bigint").alias("row"), "open", "high", "low", "close"), "life")
+    # a block is known by its row and side, folded into one number
+    b = settled(found.withColumn("block_row", F.col("row").cast("bigint")).withColumn("block_id", F.col("row").cast("bigint") * 2 + (F.col("side") == "BULLISH").cast("int")), "blocks")
+    key = [*SERIES, "block_id"]
+    met = meetings(candles, b)
+    touched = met.filter("touch")
+    episode = F.lag("row").over(Window.partitionBy(*key).orderBy("row"))
+    touched = touched.withColumn("starts", F.coalesce(episode != F.col("row") - 1, F.lit(True))).groupBy(*key).agg(F.min("row").alias("touch_row"), F.count(F.lit(1)).alias("touch_bars"), F.count_if("starts").alias("touch_episodes"))
+    wicks = met.filter("NOT touch").groupBy(*key).agg(F.min("row").alias("wick_only_row"), F.count(F.lit(1)).alias("wick_only_bars"))
+    ends = candles.groupBy(*SERIES).agg(F.max("row").alias("last_row"))
+    all_ = b.join(ends, SERIES).join(firsts(candles, b), key, "left").join(touched, key, "left").join(wicks, key, "left")
+    later = F.col("last_row") - F.col("impulse_row")
+    all_ = all_.withColumns({"later_bars": F.when(later > 0, later), **{c: F.when(later > 0, F.coalesce(F.col(c), F.lit(0))) for c in ("touch_bars", "touch_episodes", "wick_only_bars")}})
+    all_ = settled(all_, "lived")
+    windows = {"excursion_before": (F.col("impulse_row") + 1, F.coalesce(F.col("touch_row") - 1, F.col("last_row"))), "excursion_after": (F.col("touch_row") + 1, F.col("last_row"))}
+    for name, (lo, hi) in windows.items():
+        best = extremes_between(candles, all_.select(*key, lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi")))
+        all_ = all_.join(best, key, "left").withColumn(name, F.when(F.col("side") == "BULLISH", F.col("top") - F.col("zone_upper")).otherwise(F.col("zone_lower") - F.col("bottom"))).drop("top", "bottom")
     status = F.when(F.col("later_bars").isNull(), "TERMINAL").when(F.col("invalid_row").isNotNull(), "INVALIDATED").when(F.col("touch_row").isNotNull(), "MITIGATED").otherwise("UNTOUCHED")
-    return all_.withColumn("status", status)
+    return all_.withColumn("status", status).drop("block_id", "last_row", "row")
+
+
+def extremes_between(candles: DataFrame, spans: DataFrame, fan: int = 64) -> DataFrame:
+    """(series, block_id, top, bottom): highest high and lowest low of rows lo .. hi; empty spans have no row.
+
+    Levels of blocks of ``fan`` ^ k rows: a span is the whole blocks inside it, of the largest size first, and what sticks out on
+    both sides of the next size, so it meets 2 x fan rows of each level at most.
+    """
+    level = candles.select(*SERIES, F.col("row").alias("at"), F.col("high").alias("top"), F.col("low").alias("bottom"))
+    rest = spans.filter("lo <= hi").select("*", F.lit(True).alias("live"))
+    parts = None
+    while True:
+        # blocks of the next level: the span's blocks from the first whole one to the last whole one
+        up_lo, up_hi = F.ceil(F.col("lo") / fan).cast("bigint"), (F.floor((F.col("hi") + 1) / fan) - 1).cast("bigint")
+        inner = rest.withColumns({"up_lo": up_lo, "up_hi": up_hi})
+        whole = F.col("up_lo") <= F.col("up_hi")
+        edges = F.when(whole, F.concat(between(F.col("lo"), F.col("up_lo") * fan - 1), between((F.col("up_hi") + 1) * fan, F.col("hi")))).otherwise(between(F.col("lo"), F.col("hi")))
+        here = inner.select(*SERIES, "block_id", F.explode(edges).alias("at")).join(level, [*SERIES, "at"]).groupBy(*SERIES, "block_id").agg(F.max("top").alias("top"), F.min("bottom").alias("bottom"))
+        parts = here if parts is None else parts.unionByName(here)
+        rest = settled(inner.filter(whole).select(*SERIES, "block_id", F.col("up_lo").alias("lo"), F.col("up_hi").alias("hi")), "spans")
+        if rest.isEmpty():
+            return parts.groupBy(*SERIES, "block_id").agg(F.max("top").alias("top"), F.min("bottom").alias("bottom"))
+        level = settled(level.groupBy(*SERIES, F.floor(F.col("at") / fan).cast("bigint").alias("at")).agg(F.max("top").alias("top"), F.min("bottom").alias("bottom")), "level")
+
+
+def between(lo, hi):
+    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
 
 
 def events(lived: DataFrame) -> DataFrame:

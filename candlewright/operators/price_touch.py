@@ -136,7 +136,7 @@ def level_stats(met: DataFrame) -> DataFrame:
     ).join(by_month, [*SERIES, "bin"])
     share = F.col("busiest_month") / F.col("touches")
     days = F.datediff("last_touch", "first_touch")
-    label = F.when((F.col("months") <= 2) | (days < 60), "RECENT").when(share >= 0.45, "CONCENTRATED").when((F.col("months") >= 6) & (share <= 0.35), "PERSISTENT").otherwise("INFREQUENT")
+    label = F.when((F.col("months") <= 2) | (days < 60), "RECENT_OR_EMERGING").when(share >= 0.45, "FREQUENT_BUT_CONCENTRATED").when((F.col("months") >= 6) & (share <= 0.35), "FREQUENT_AND_PERSISTENT").otherwise("INFREQUENT_BUT_PERSISTENT")
     return out.withColumns({"engagement": (F.col("close_inside") + F.col("body")) / F.col("touches"), "busiest_share": share, "persistence": label})
 
 

@@ -11,6 +11,7 @@ from candlewright.functions import bars
 from candlewright.operators.access import SERIES
 from candlewright.operators.features import series, with_atr
 from candlewright.operators.special_swings import signed
+from candlewright.sources.candles import CandleError
 
 #: Formation lengths and the limits of both engines.
 LENGTHS = range(5, 11)
@@ -64,83 +65,130 @@ def emitted(found: DataFrame) -> DataFrame:
     return one.withColumn("disposition", F.when(F.col("_again"), "DUPLICATE").otherwise("EMITTED")).drop("_again", "_best").unionByName(rest.drop("_best"))
 
 
-class Engine:
-    """Alternating swings from pivots. A subclass says how far apart two swings must be and when an active one is confirmed.
+MOST_CHAINED = 64
 
-    Two opposite pivots that are far enough apart start it, the earliest pair first. The later becomes active; a more extreme
-    pivot of its side replaces it until it is confirmed; pivots of the other side wait. A confirmation hands over to the first
-    waiting pivot that fits, and such hand-overs may follow each other within a candle.
+
+class Track:
+    """Alternating swings of one level from points (side, sign, price, extreme, atr) that arrive in time.
+
+    The *anchor* is the swing before the one that is looked for. A point is admitted if ``refusal(anchor, point)`` is None. The
+    first point that some earlier one admits starts the track: of these the one that ``first`` ranks lowest becomes the anchor, and is
+    not itself a swing. While a point is active, one of its side that is admitted and more extreme replaces it, and those of the
+    other side are held. A confirmed point is the next anchor; of the held ones, in order, those of the wrong side and those not
+    admitted go, the first that is admitted becomes active, and the ones behind it stay held.
     """
 
-    def __init__(self, series):
-        self.s = series
-        self.confirmed: list[dict] = []
-        self.active: dict | None = None
-        self.waiting: list[dict] = []
-        self.start: list[dict] = []
-
-    def consume(self, p: dict, t: int) -> None:
-        if self.active is None and self.confirmed:
-            # after a confirmation only a pivot of the other side that is far enough off goes on
-            if p["side"] != self.confirmed[-1]["side"] and self.fits(self.confirmed[-1], p, t):
-                self.active = p
+    def __init__(self, series: dict):
+        self.series = series
+        self.seen: list[dict] = []
+        self.held: list[dict] = []
+        self.swings: list[dict] = []
+        self.anchor = self.active = self.wanted = None
+
+    def offer(self, point: dict, row: int) -> None:
+        if self.anchor is None:
+            self.begin(point, row)
         elif self.active is None:
-            for q in self.start:
-                if q["side"] != p["side"] and self.fits(q, p, t):
-                    self.confirmed.append(q | {"confirmed_row": t})
-                    self.active, self.start = p, []
-                    return
-            self.start.append(p)
-        elif p["side"] != self.active["side"]:
-            self.waiting.append(p)
-        elif p["sign"] * (p["price"] - self.active["price"]) > 0:
-            self.active = p
-            self.waiting = [w for w in self.waiting if w["extreme"] > p["extreme"]]
-
-    def evaluate(self, t: int) -> list[dict]:
-        """Swings confirmed at the close of candle t."""
-        out = []
-        for _ in range(64):
-            if self.active is None or not self.reversed(self.active, t):
-                break
-            done = self.active | {"confirmed_row": t}
-            self.confirmed.append(done)
-            out.append(done)
-            held, self.waiting, self.active = self.waiting, [], None
-            for k, w in enumerate(held):
-                if w["side"] != done["side"] and self.fits(done, w, t):
-                    self.active = w
-                    for x in held[k + 1 :]:
-                        self.consume(x, t)
-                    break
-        return out
-
-    def fits(self, a: dict, b: dict, t: int) -> bool:
+            if point["side"] == self.wanted and self.refusal(self.anchor, point, row) is None:
+                self.active = point
+        elif point["side"] != self.active["side"]:
+            if self.holds(point):
+                self.held.append(point)
+        elif self.refusal(self.anchor, point, row) is None and point["sign"] * (point["price"] - self.active["price"]) > 0:
+            self.active = point
+
+    def begin(self, point: dict, row: int) -> None:
+        fits = [p for p in self.seen if self.starts(p, point) and self.refusal(p, point, row) is None]
+        self.seen.append(point)
+        if fits:
+            self.anchor = min(fits, key=lambda p: self.first(p, point))
+            self.active, self.wanted, self.seen = point, point["side"], []
+
+    def settle(self, row: int) -> list[dict]:
+        """The points that the close of this row confirms; more than MOST_CHAINED in one row are an error."""
+        done: list[dict] = []
+        while len(done) < MOST_CHAINED:
+            while self.active is None and self.held:
+                point = self.held.pop(0)
+                if point["side"] == self.wanted and self.refusal(self.anchor, point, row) is None:
+                    self.active = point
+            if self.active is None or not self.reversed(self.active, self.series["close"][row]):
+                return done
+            self.anchor = self.active | {"confirmed_row": row, "sequence": len(self.swings) + 1}
+            self.wanted = "LOW" if self.anchor["side"] == "HIGH" else "HIGH"
+            self.active = None
+            self.swings.append(self.anchor)
+            done.append(self.anchor)
+        raise CandleError(f"over {MOST_CHAINED} swings confirmed in row {row}")
+
+    def holds(self, point: dict) -> bool:
+        return True
+
+    def starts(self, earlier: dict, point: dict) -> bool:
+        return True
+
+    def first(self, earlier: dict, point: dict) -> tuple:
         raise NotImplementedError
 
-    def reversed(self, p: dict, t: int) -> bool:
+    def refusal(self, before: dict, point: dict, row: int) -> str | None:
+        """Why a point may not follow ``before``, or None."""
         raise NotImplementedError
 
+    def reversed(self, point: dict, close: float) -> bool:
+        raise NotImplementedError
+
+
+def moved(before: dict, point: dict) -> float:
+    return point["sign"] * (point["price"] - before["price"])
+
+
+class Internal(Track):
+    """Swings from formation pivots: two ATR and six bars from the anchor, confirmed by a close one ATR off the pivot. The ATR is the pivot's."""
+
+    def holds(self, point):
+        return point["atr"] > 0
+
+    def starts(self, earlier, point):
+        return earlier["side"] != point["side"]
+
+    def first(self, earlier, point):
+        return earlier["extreme"], -moved(earlier, point), earlier["order"]
+
+    def refusal(self, before, point, row):
+        if not point["atr"] > 0:
+            return "ATR"
+        if before["side"] == point["side"]:
+            return "SIDE"
+        if point["extreme"] - before["extreme"] < INTERNAL["spacing"]:
+            return "SPACING"
+        far = moved(before, point)
+        return None if far > 0 and far >= INTERNAL["displacement"] * point["atr"] else "DISPLACEMENT"
+
+    def reversed(self, point, close):
+        level = point["price"] - point["sign"] * INTERNAL["reversal"] * point["atr"]
+        return point["sign"] * (level - close) >= 0
 
-class Internal(Engine):
-    def fits(self, a, b, t):
-        far = b["sign"] * (b["price"] - a["price"]) >= INTERNAL["displacement"] * b["atr"]
-        return bool(b["atr"]) and far and b["extreme"] - a["extreme"] >= INTERNAL["spacing"]
 
-    def reversed(self, p, t):
-        atr = self.s["atr"][t]
-        return atr == atr and p["sign"] * (p["price"] - self.s["close"][t]) >= INTERNAL["reversal"] * atr
+class Major(Track):
+    """Swings from internal ones: three ATR, 1.5 percent and twelve bars from the anchor, with prominence as of now; confirmed by a
+    close 1.5 ATR and 0.75 percent off. The first anchor may be of either side."""
 
+    def first(self, earlier, point):
+        return earlier["confirmed_row"], earlier["sequence"]
 
-class Major(Engine):
-    def fits(self, a, b, t):
-        moved = b["sign"] * (b["price"] - a["price"])
-        return bool(b["atr"]) and moved >= MAJOR["displacement"] * b["atr"] and moved >= MAJOR["percent"] / 100 * a["price"] and b["extreme"] - a["extreme"] >= MAJOR["spacing"] and prominence(self.s, b, t) >= MAJOR["prominence"] * b["atr"]
+    def refusal(self, before, point, row):
+        if not point["atr"] > 0 or before["price"] <= 0:
+            return "ATR"
+        if point["extreme"] - before["extreme"] < MAJOR["spacing"]:
+            return "SPACING"
+        far = moved(before, point)
+        if far <= 0 or far < MAJOR["displacement"] * point["atr"] or far * 100 < MAJOR["percent"] * before["price"]:
+            return "DISPLACEMENT"
+        return None if prominence(self.series, point, row) >= MAJOR["prominence"] * point["atr"] else "PROMINENCE"
 
-    def reversed(self, p, t):
-        atr = self.s["atr"][t]
-        drop = p["sign"] * (p["price"] - self.s["close"][t])
-        return atr == atr and drop >= MAJOR["reversal"] * atr and drop >= MAJOR["reversal_percent"] / 100 * p["price"]
+    def reversed(self, point, close):
+        back = point["sign"] * (point["price"] - close)
+        return back >= MAJOR["reversal"] * point["atr"] and back * 100 >= MAJOR["reversal_percent"] * point["price"]
 
 
 def prominence(s: dict, p: dict, t: int) -> float:
@@ -156,16 +204,35 @@ def prominence(s: dict, p: dict, t: int) -> float:
     return min(falls)
 
 
-def replay(s: dict, arriving: dict[int, list[dict]]) -> tuple[list[dict], list[dict]]:
-    """Internal and major swings of one series; pivots arrive at the close of the candle that completes their formation."""
+def replay(s: dict, arriving: dict[int, list[dict]]) -> tuple[Internal, Major]:
+    """Both tracks of one series; pivots arrive at the close of the candle that completes their formation, by extreme, then side."""
     internal, major = Internal(s), Major(s)
-    for t in range(len(s["close"])):
-        for p in arriving.get(t, ()):
-            internal.consume(p, t)
-        for done in internal.evaluate(t):
-            major.consume(done, t)
-        major.evaluate(t)
-    return internal.confirmed, major.confirmed
+    for row in range(len(s["close"])):
+        for order, point in enumerate(sorted(arriving.get(row, ()), key=lambda p: (p["extreme"], p["side"]))):
+            internal.offer(point | {"order": (row, order)}, row)
+        for swing in internal.settle(row):
+            major.offer(swing, row)
+        major.settle(row)
+    return internal, major
+
+
+def labelled(found: list[dict], level: str) -> list[dict]:
+    """With the structure label against the last swing of the side; within TOLERANCE ATR prices are equal."""
+    last: dict[str, float] = {}
+    out = []
+    for x in found:
+        high, tolerance = x["side"] == "HIGH", TOLERANCE * x["atr"]
+        if x["side"] not in last:
+            label = f"FIRST_{level}_{x['side']}"
+        elif x["price"] > last[x["side"]] + tolerance:
+            label = "HH" if high else "HL"
+        elif x["price"] < last[x["side"]] - tolerance:
+            label = "LH" if high else "LL"
+        else:
+            label = "EH" if high else "EL"
+        last[x["side"]] = x["price"]
+        out.append(x | {"label": label})
+    return out
 
 
 def swings(numbered: DataFrame, found: DataFrame | None = None) -> DataFrame:
@@ -184,20 +251,9 @@ def swings(numbered: DataFrame, found: DataFrame | None = None) -> DataFrame:
         for p in pdf[pdf["kind"] == "pivot"].sort_values(["close_row", "row", "side"]).to_dict("records"):
             e, t = int(p["row"]), int(p["close_row"])
             atr = s["atr"][e] if s["atr"][e] == s["atr"][e] else s["atr"][t]
-            if atr == atr:
-                arriving.setdefault(t, []).append({"side": p["side"], "sign": 1 if p["side"] == "HIGH" else -1, "price": p["price"], "extreme": e, "atr": atr})
-        out = []
-        for level, found in zip(("INTERNAL", "MAJOR"), replay(s, arriving)):
-            last: dict[str, dict] = {}
-            for n, x in enumerate(found, 1):
-                before = last.get(x["side"])
-                label = None
-                if before is not None:
-                    move = x["price"] - before["price"]
-                    same, more, less = ("EH", "HH", "LH") if x["side"] == "HIGH" else ("EL", "HL", "LL")
-                    label = same if abs(move) <= TOLERANCE * x["atr"] else more if move > 0 else less
-                last[x["side"]] = x
-                out.append((level, n, x["side"], x["extreme"], x["price"], x["atr"], x["confirmed_row"], label))
+            arriving.setdefault(t, []).append({"side": p["side"], "sign": 1 if p["side"] == "HIGH" else -1, "price": p["price"], "extreme": e, "atr": atr})
+        tracks = zip(("INTERNAL", "MAJOR"), replay(s, arriving))
+        out = [(level, x["sequence"], x["side"], x["extreme"], x["price"], x["atr"], x["confirmed_row"], x["label"]) for level, track in tracks for x in labelled(track.swings, level)]
         frame = pd.DataFrame(out, columns=["level", "sequence", "side", "row", "price", "atr", "confirmed_row", "label"])
         frame.insert(0, "timeframe", pdf["timeframe"].iloc[0])
         frame.insert(0, "symbol", pdf["symbol"].iloc[0])

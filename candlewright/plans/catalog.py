@@ -16,6 +16,7 @@ from candlewright.operators import access, features, open_liquidity, order_block
 from candlewright.operators.crossing import first_reaches
 from candlewright.plans.sql import ORACLES
 from candlewright.sources import candles
+from candlewright.sources.scratch import settled
 
 START, END = "2024-01-10", "2024-01-20"
 
@@ -30,7 +31,7 @@ def candle(spark: SparkSession, sf: str, timeframe: str, by_type: bool = False)
 
 
 def numbered(spark: SparkSession, sf: str, timeframe: str, by_type: bool = False) -> DataFrame:
-    return access.number_rows(candle(spark, sf, timeframe, by_type))
+    return settled(access.number_rows(candle(spark, sf, timeframe, by_type)))
 
 
 def several(spark: SparkSession, sf: str, by_type: bool = False) -> DataFrame:
@@ -73,21 +74,27 @@ def lived(spark, sf):
     return order_block.lifecycle(rows, order_block.blocks(rows))
 
 
-def special(search, timeframe):
+def special(search, timeframe, by_type=True):
     def run(spark, sf):
-        found = search(numbered(spark, sf, timeframe, True))
+        found = search(numbered(spark, sf, timeframe, by_type))
         return found.select("symbol", "side", "row", "k", "kind", "reason", "price", "plateau_start", "plateau_end", "open_percent", "close_percent", "close_row")
 
     return run
 
 
-def outcomes(search, timeframe):
+def outcomes(search, timeframe, by_type=True):
     def run(spark, sf):
-        return special_swings.suppress(special_swings.families(search(numbered(spark, sf, timeframe, True)))).select("symbol", "side", "row", "close_row", "price", "event_id", "family", "outcome")
+        return special_swings.suppress(special_swings.families(search(numbered(spark, sf, timeframe, by_type)))).select("symbol", "side", "row", "close_row", "price", "event_id", "family", "outcome")
 
     return run
 
 
+def flattened(rows):
+    """Prices of the random series pressed into a band of a tenth, so that the range detector's own limits apply."""
+    price = lambda c: (F.col(c) / 50 + 100).cast("decimal(18,8)")
+    return rows.withColumns({c: price(c) for c in ("open", "high", "low", "close")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ohlcv_1h": lambda s, d: candle(s, d, "1h"),
     "ohlcv_4h_by_symbol": lambda s, d: candle(s, d, "4h", True),
@@ -117,7 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "leg_statistics": lambda s, d: rounded(features.leg_statistics(numbered(s, d, "1h", True).withColumn("day", F.to_date("open_time")), ["symbol", "day"]), "slope", "efficiency", "path", "vwap", "volatility", "close_location"),
     "first_reaches": lambda s, d: first_reaches(numbered(s, d, "1h")).select("row", "reach_high", "reach_low", "close_reach_high", "close_reach_low"),
     "open_liquidity": lambda s, d: open_liquidity.candidates(several(s, d)).select("timeframe", "side", "row", "price", "status", "mitigation_row", "close_row", "origin", "future_bars", "mechanism", "penetration", "chain_position", "chain_length", "chain_previous", "chain_next", "near_miss"),
-    "open_liquidity_ranks": lambda s, d: rounded(open_liquidity.ranked_open(open_liquidity.candidates(several(s, d))), "distance_percent").select("timeframe", "side", "row", "price", "distance", "distance_percent", "rank_nearest", "rank_oldest", "rank_newest", "rank_observed"),
+    "open_liquidity_ranks": lambda s, d: rounded(open_liquidity.ranked_open(open_liquidity.candidates(several(s, d))), "distance_percent").select("timeframe", "side", "row", "price", "distance", "distance_percent", "rank_nearest", "rank_oldest", "rank_newest", "rank_observed", "observation"),
     "open_liquidity_months": lambda s, d: open_liquidity.monthly_origins(open_liquidity.candidates(several(s, d))),
     "open_liquidity_mechanisms": lambda s, d: open_liquidity.mechanism_counts(open_liquidity.candidates(several(s, d))),
     "open_liquidity_groups": liquidity_groups,
@@ -131,8 +138,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "touch_levels": touched,
     "touch_accepted": accepted,
     "touch_groups": lambda s, d: price_touch.analyse(several(s, d))["groups"],
-    "special_30m": special(special_swings.search_30m, "4h"),
-    "special_30m_outcomes": outcomes(special_swings.search_30m, "4h"),
+    "special_30m": special(special_swings.search_30m, "30m", False),
+    "special_30m_outcomes": outcomes(special_swings.search_30m, "30m", False),
     "special_4h": special(special_swings.search_4h, "4h"),
     "special_4h_outcomes": outcomes(special_swings.search_4h, "4h"),
     "swing_formations": lambda s, d: swings.formations(numbered(s, d, "4h", True)).select("symbol", "side", "row", "length", "label", "extreme_row", "price", "close_row"),
@@ -140,7 +147,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "swings": lambda s, d: swings.swings(numbered(s, d, "1h")),
     "swing_legs": lambda s, d: swings.legs(numbered(s, d, "1h"), swings.swings(numbered(s, d, "1h"))),
     "swing_forward": lambda s, d: swings.forward(numbered(s, d, "1h"), swings.swings(numbered(s, d, "1h"))),
-    "primary_ranges": lambda s, d: primary_range.primary_ranges(numbered(s, d, "1h"), bars=120, expiry=480, inside=0.5, width_percent=250.0, width_atr=0.5, efficiency=1.0, cluster_atr=0.5),
+    "primary_ranges": lambda s, d: primary_range.primary_ranges(flattened(numbered(s, d, "1h", True))),
+    "primary_range_rejections": lambda s, d: primary_range.rejections(flattened(numbered(s, d, "1h", True))),
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-MINUTES = {"1h": 60, "4h": 240, "1d": 1440}
+MINUTES = {"30m": 30, "1h": 60, "4h": 240, "1d": 1440}
 
 
 def candle(timeframe: str, by_type: bool = False) -> str:
@@ -19,7 +19,7 @@ def rows(timeframe: str, by_type: bool = False) -> str:
     return f"(SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY open_time) - 1 AS row FROM {candle(timeframe, by_type)})"
 
 
-SEVERAL = "(" + " UNION ALL ".join(f"SELECT * FROM {rows(t)}" for t in MINUTES) + ")"
+SEVERAL = "(" + " UNION ALL ".join(f"SELECT * FROM {rows(t)}" for t in ("1h", "4h", "1d")) + ")"
 
 FOLD_4H = """SELECT symbol, time_bucket(INTERVAL '240 minutes', open_time) AS o, arg_min(open, open_time) AS open, max(high) AS high, min(low) AS low,
     arg_max(close, open_time) AS close, CAST(sum(CAST(volume AS DECIMAL(18, 2))) AS DOUBLE) AS volume, CAST(sum(trades) AS BIGINT) AS trades, count(*) AS children
@@ -44,25 +44,27 @@ CANDIDATES = f"""
     e AS (SELECT symbol, timeframe, max(row) AS last_row, arg_max(close, row) AS final_close, count(*) AS n FROM s GROUP BY ALL),
     two AS (SELECT s.*, 'HIGH' AS side, high AS price, reach_high AS reach, close_reach_high AS close_row, high - greatest(open, close) AS wick, 1 AS sgn FROM s JOIN r USING (symbol, timeframe, row)
         UNION ALL SELECT s.*, 'LOW', low, reach_low, close_reach_low, least(open, close) - low, -1 FROM s JOIN r USING (symbol, timeframe, row)),
-    c AS (SELECT two.symbol, two.timeframe, side, two.row, two.open_time, price, sgn, reach AS mitigation_row, close_row, last_row - two.row AS future_bars, final_close,
+    c AS (SELECT two.symbol, two.timeframe, side, two.row, two.open_time, price, sgn, reach AS mitigation_row, close_row, last_row - two.row AS future_bars, last_row + 1 AS n, final_close,
         CASE WHEN two.row = last_row THEN 'TERMINAL_NO_LATER_CANDLE' WHEN reach IS NOT NULL THEN 'MITIGATED' ELSE 'OPEN_CONFIRMED_BY_LATER_OBSERVATION' END AS status,
         CASE WHEN wick > 0 THEN 'WICK' ELSE 'BODY' END AS origin, m.open AS mo, m.close AS mc, CASE WHEN side = 'HIGH' THEN m.high ELSE m.low END AS mx,
         (SELECT CASE WHEN two.side = 'HIGH' THEN max(high) ELSE min(low) END FROM s l WHERE l.timeframe = two.timeframe AND l.row > two.row) AS later
         FROM two JOIN e USING (symbol, timeframe) LEFT JOIN s m ON m.timeframe = two.timeframe AND m.row = reach),
-    found AS (SELECT *, CASE WHEN mitigation_row IS NULL THEN NULL WHEN sgn * (mo - price) >= 0 THEN 'GAP' WHEN mx = price THEN 'EXACT' WHEN sgn * (mc - price) >= 0 THEN 'CLOSE' ELSE 'WICK_REACH' END AS mechanism,
+    found AS (SELECT *, CASE WHEN mitigation_row IS NULL THEN NULL WHEN sgn * (mo - price) >= 0 THEN 'GAP_OPEN_AT_OR_BEYOND' WHEN mx = price THEN 'EXACT_EXTREME_TOUCH' WHEN sgn * (mc - price) >= 0 THEN 'CLOSE_AT_OR_BEYOND' ELSE 'WICK_REACH' END AS mechanism,
         status LIKE 'OPEN%' AND 10000 * sgn * ({exact("price")} - {exact("later")}) <= 5 * {exact("price")} AS near_miss FROM c)"""
 
 PAIRS = f"""SELECT *, CASE WHEN sgn > 0 THEN nc - {exact("open")} WHEN sgn < 0 THEN {exact("open")} - nc END AS moved FROM (
     SELECT *, CASE WHEN close < open AND nc > no_ THEN 1 WHEN close > open AND nc < no_ THEN -1 END AS sgn, CASE WHEN close > open THEN 1 WHEN close < open THEN -1 ELSE 0 END AS d1, CASE WHEN nc > no_ THEN 1 WHEN nc < no_ THEN -1 ELSE 0 END AS d2
     FROM (SELECT *, {exact("lead(open) OVER w")} AS no_, {exact("lead(close) OVER w")} AS nc, lead(row) OVER w AS impulse_row FROM {rows("4h", True)} WINDOW w AS (PARTITION BY symbol ORDER BY row)) WHERE nc IS NOT NULL)"""
 
-DISPOSITION = f"""CASE WHEN d1 = 0 AND d2 = 0 THEN 'REJECTED_BOTH_DOJI' WHEN d1 = 0 THEN 'REJECTED_ORIGIN_DOJI' WHEN d2 = 0 THEN 'REJECTED_IMPULSE_DOJI' WHEN sgn IS NULL THEN 'REJECTED_SAME_DIRECTION'
-    WHEN moved <= 0 THEN 'REJECTED_NO_DISPLACEMENT' WHEN moved * 100 < {exact("open")} * {{p}} THEN 'REJECTED_SMALL_DISPLACEMENT' ELSE 'QUALIFIED' END"""
+#: One hundred times the move of an impulse against percent times the origin's open, both exact.
+DISPOSITION = f"""CASE WHEN d1 = 0 THEN 'REJECTED_ORIGIN_DOJI' WHEN d2 = 0 THEN 'REJECTED_IMPULSE_DOJI' WHEN d1 = d2 THEN 'REJECTED_SAME_DIRECTION'
+    WHEN d1 < 0 AND 100 * (nc - {exact("open")}) >= {{p}} * {exact("open")} THEN 'QUALIFIED_BULLISH_ORDER_BLOCK' WHEN d1 < 0 THEN 'REJECTED_BULLISH_DISPLACEMENT_BELOW_1_PERCENT'
+    WHEN 100 * ({exact("open")} - nc) >= {{p}} * {exact("open")} THEN 'QUALIFIED_BEARISH_ORDER_BLOCK' ELSE 'REJECTED_BEARISH_DISPLACEMENT_BELOW_1_PERCENT' END"""
 
 
 def blocks(percent: int = 1) -> str:
     return f"""(SELECT symbol, CASE WHEN sgn > 0 THEN 'BULLISH' ELSE 'BEARISH' END AS side, sgn, row AS block_row, impulse_row, least(open, close) AS lo, greatest(open, close) AS hi, moved, open, close, no_, nc
-        FROM ({PAIRS}) WHERE {DISPOSITION.format(p=percent)} = 'QUALIFIED')"""
+        FROM ({PAIRS}) WHERE {DISPOSITION.format(p=percent)} LIKE 'QUALIFIED%')"""
 
 
 LIFE = f"""
@@ -92,13 +94,15 @@ BINNED = f"""
     peak AS (SELECT a.symbol, a.timeframe, a.bin, pow(1.001, a.bin) AS center, pow(1.001, a.bin) * 0.999 AS zone_lower, pow(1.001, a.bin) * 1.001 AS zone_upper, a.touches, a.episodes, a.months, a.close_inside, a.smoothed
              FROM ranked a WHERE NOT EXISTS (SELECT 1 FROM ranked b WHERE b.timeframe = a.timeframe AND b.bin BETWEEN a.bin - 5 AND a.bin + 5 AND b.k > a.k))"""
 
-#: Openings with their signed later candles, in hundredths.
-OPENINGS = f"""
-    s AS (SELECT symbol, row, {exact("open")} AS o, {exact("high")} AS h, {exact("low")} AS l, {exact("close")} AS c FROM {rows("4h", True)}),
+def openings(timeframe: str, by_type: bool) -> str:
+    """Openings with their signed later candles, in hundredths."""
+    return f"""
+    s AS (SELECT symbol, row, {exact("open")} AS o, {exact("high")} AS h, {exact("low")} AS l, {exact("close")} AS c FROM {rows(timeframe, by_type)}),
     a AS (SELECT symbol, row, CASE WHEN c > o THEN 'HIGH' ELSE 'LOW' END AS side, CASE WHEN c > o THEN 1 ELSE -1 END AS sgn FROM s WHERE c <> o),
     f AS (SELECT a.symbol, a.row, a.side, a.sgn, s.row - a.row AS k, sgn * o AS o, CASE WHEN sgn > 0 THEN h ELSE -l END AS h, CASE WHEN sgn > 0 THEN l ELSE -h END AS l, sgn * c AS c
           FROM a JOIN s ON s.symbol = a.symbol AND s.row BETWEEN a.row AND a.row + 10)"""
 
+
 ORACLES: dict[str, str] = {
     "ohlcv_1h": f"SELECT * FROM {candle('1h')}",
     "ohlcv_4h_by_symbol": f"SELECT * FROM {candle('4h', True)}",
@@ -120,6 +124,8 @@ ORACLES: dict[str, str] = {
     "gap_ranges": f"""SELECT symbol, open_time + INTERVAL '1 hour' AS gap_start, nxt - INTERVAL '1 hour' AS gap_end, date_diff('hour', open_time, nxt) - 1 AS missing FROM ({GAPS}) WHERE nxt > open_time + INTERVAL '1 hour'""",
     "coverage_islands": f"""SELECT symbol, min(open_time) AS run_start, max(open_time) AS run_end, count(*) AS rows FROM (
         SELECT symbol, open_time, date_diff('hour', TIMESTAMP '2000-01-01', open_time) - row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS k FROM {candle("1h", True)}) GROUP BY symbol, k""",
+    "content_fingerprint": f"""WITH m AS (SELECT symbol, date_trunc('month', open_time) AS month, count(*) AS n, sha256(string_agg(CAST(epoch_us(open_time) AS VARCHAR) || '|' || CAST(CAST(round(open * 100) AS BIGINT) * 1000000 AS VARCHAR) || '|' || CAST(CAST(round(high * 100) AS BIGINT) * 1000000 AS VARCHAR) || '|' || CAST(CAST(round(low * 100) AS BIGINT) * 1000000 AS VARCHAR) || '|' || CAST(CAST(round(close * 100) AS BIGINT) * 1000000 AS VARCHAR) || '|' || CAST(CAST(round(volume * 100) AS BIGINT) * 1000000 AS VARCHAR) || '|' || CAST(trades AS VARCHAR), chr(10) ORDER BY open_time) || chr(10)) AS d FROM {candle("1h", True)} GROUP BY ALL)
+        SELECT symbol, CAST(sum(n) AS BIGINT) AS rows, sha256(string_agg(d, chr(10) ORDER BY month) || chr(10)) AS content FROM m GROUP BY symbol""",
     "range_half_open": f"""SELECT symbol, timeframe, open_time, close_time, close, volume, false AS is_warmup FROM {candle("1h")} WHERE open_time >= TIMESTAMP '2024-01-10' AND open_time < TIMESTAMP '2024-01-20'""",
     "range_warmup_100": f"""WITH c AS {candle("1h")} SELECT *, false AS is_warmup FROM c WHERE open_time >= TIMESTAMP '2024-01-10' AND open_time < TIMESTAMP '2024-01-20'
         UNION ALL SELECT * FROM (SELECT *, true FROM c WHERE close_time < TIMESTAMP '2024-01-10' ORDER BY open_time DESC LIMIT 100)""",
@@ -152,7 +158,7 @@ ORACLES: dict[str, str] = {
         FROM found WINDOW w AS (PARTITION BY timeframe, side, price ORDER BY row)""",
     "open_liquidity_ranks": f"""{CANDIDATES}, o AS (SELECT *, abs({exact("price")} - {exact("final_close")}) / 100.0 AS distance FROM found WHERE status LIKE 'OPEN%')
         SELECT timeframe, side, row, price, distance, round(distance / final_close * 100, 6) AS distance_percent, row_number() OVER (PARTITION BY timeframe, side ORDER BY distance, future_bars DESC) AS rank_nearest,
-        row_number() OVER (PARTITION BY timeframe, side ORDER BY open_time) AS rank_oldest, row_number() OVER (PARTITION BY timeframe, side ORDER BY open_time DESC) AS rank_newest, row_number() OVER (PARTITION BY timeframe, side ORDER BY future_bars DESC) AS rank_observed FROM o""",
+        row_number() OVER (PARTITION BY timeframe, side ORDER BY open_time) AS rank_oldest, row_number() OVER (PARTITION BY timeframe, side ORDER BY open_time DESC) AS rank_newest, row_number() OVER (PARTITION BY timeframe, side ORDER BY future_bars DESC) AS rank_observed, CASE WHEN future_bars * 100 < n THEN 'VERY_LOW' WHEN future_bars * 20 < n THEN 'LOW' WHEN future_bars * 5 < n THEN 'MODERATE' ELSE 'HIGH' END || '_FUTURE_OBSERVATION' AS observation FROM o""",
     "open_liquidity_months": f"""{CANDIDATES} SELECT symbol, timeframe, side, strftime(open_time, '%Y-%m') AS month, count(*) AS candidates, count(*) FILTER (WHERE status LIKE 'OPEN%') AS open, count(*) FILTER (WHERE status = 'MITIGATED') AS mitigated,
         count(*) FILTER (WHERE status LIKE 'TERM%') AS terminal, count(close_row) AS closed_beyond FROM found GROUP BY ALL""",
     "open_liquidity_mechanisms": f"{CANDIDATES} SELECT symbol, timeframe, side, mechanism, count(*) AS count FROM found WHERE mechanism IS NOT NULL GROUP BY ALL",
@@ -180,8 +186,8 @@ ORACLES: dict[str, str] = {
             count(DISTINCT open_time::DATE) AS dates, count(DISTINCT {WEEK}) AS weeks, count(DISTINCT strftime(open_time, '%Y-%m')) AS months, count(DISTINCT (year(open_time), quarter(open_time))) AS quarters, count(DISTINCT year(open_time)) AS years, min(open_time) AS first_touch, max(open_time) AS last_touch,
             count(*) FILTER (WHERE open BETWEEN zl AND zu) AS n_open_inside, count(*) FILTER (WHERE low < zl AND high > zu) AS n_crosses, count(*) FILTER (WHERE pc > zu) AS n_from_above, count(*) FILTER (WHERE pc < zl) AS n_from_below,
             count(*) FILTER (WHERE close > open) AS n_bullish, count(*) FILTER (WHERE close < open) AS n_bearish, count(*) FILTER (WHERE close = open) AS n_doji, max(inm) AS busiest FROM y GROUP BY ALL)
-        SELECT * EXCLUDE (busiest), (close_inside + body) / touches AS engagement, CASE WHEN months <= 2 OR date_diff('day', first_touch, last_touch) < 60 THEN 'RECENT' WHEN busiest / touches >= 0.45 THEN 'CONCENTRATED' WHEN months >= 6 AND busiest / touches <= 0.35 THEN 'PERSISTENT' ELSE 'INFREQUENT' END AS persistence FROM z""",
-    "special_30m": f"""WITH {OPENINGS}, b AS (SELECT * FROM f WHERE k = 0),
+        SELECT * EXCLUDE (busiest), (close_inside + body) / touches AS engagement, CASE WHEN months <= 2 OR date_diff('day', first_touch, last_touch) < 60 THEN 'RECENT_OR_EMERGING' WHEN busiest / touches >= 0.45 THEN 'FREQUENT_BUT_CONCENTRATED' WHEN months >= 6 AND busiest / touches <= 0.35 THEN 'FREQUENT_AND_PERSISTENT' ELSE 'INFREQUENT_BUT_PERSISTENT' END AS persistence FROM z""",
+    "special_30m": f"""WITH {openings("30m", False)}, b AS (SELECT * FROM f WHERE k = 0),
         z AS (SELECT b.symbol, b.row, b.side, f.k, b.o AS bo, b.c AS bc, f.o AS zo, f.c AS zc FROM b JOIN f ON f.symbol = b.symbol AND f.row = b.row AND f.k BETWEEN 7 AND 10
               WHERE b.c - f.c >= 0 AND 3 * (b.c - f.c) >= b.c - b.o AND 3 * (b.c - f.c) <= 5 * (b.c - b.o) AND f.c < f.o),
         p AS (SELECT x.symbol, x.row, x.k, x.c, x.l FROM f x JOIN f y ON y.symbol = x.symbol AND y.row = x.row AND y.k = x.k + 1 WHERE x.k >= 1 AND x.c < x.o AND y.c > y.o),
@@ -193,7 +199,7 @@ ORACLES: dict[str, str] = {
               JOIN f ON f.symbol = w.symbol AND f.row = w.row AND f.k BETWEEN 1 AND w.k - 1 WHERE n = 1 GROUP BY ALL)
         SELECT w.symbol, w.side, w.row, w.k, 'NORMAL' AS kind, CASE WHEN (peak - bo) * 100 < abs(bo) THEN 'OPEN_BOUNDARY' WHEN (peak - zc) * 100 < abs(zc) THEN 'CLOSE_BOUNDARY' ELSE 'OK' END AS reason, abs(peak) / 100.0 AS price,
         w.row + gap + 1 AS plateau_start, w.row + le AS plateau_end, round((peak - bo) / abs(bo) * 100, 10) AS open_percent, round((peak - zc) / abs(zc) * 100, 10) AS close_percent, w.row + w.k AS close_row FROM w JOIN i USING (symbol, row) JOIN t USING (symbol, row) WHERE n = 1""",
-    "special_4h": f"""WITH {OPENINGS}, b AS (SELECT * FROM f WHERE k = 0), n AS (SELECT * FROM f WHERE k = 1),
+    "special_4h": f"""WITH {openings("4h", True)}, b AS (SELECT * FROM f WHERE k = 0), n AS (SELECT * FROM f WHERE k = 1),
         zero AS (SELECT b.symbol, b.side, b.row, 1 AS k, 'ZERO' AS kind, b.o AS bo, n.o AS zo, n.c AS zc, greatest(b.h, n.h) AS peak, b.row + (b.h < n.h)::INT AS plateau_start, b.row + (n.h >= b.h)::INT AS plateau_end
                  FROM b JOIN n USING (symbol, row) WHERE n.c <= b.o),
         z AS (SELECT b.symbol, b.side, b.row, f.k, b.o AS bo, f.o AS zo, f.c AS zc, row_number() OVER (PARTITION BY b.symbol, b.row ORDER BY f.k) AS i FROM b JOIN n USING (symbol, row) JOIN f ON f.symbol = b.symbol AND f.row = b.row AND f.k BETWEEN 2 AND 6

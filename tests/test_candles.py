@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 import zipfile
 from decimal import Decimal
@@ -120,10 +121,10 @@ def test_first_reach_matches_brute_force():
     ("bars", "status", "mechanism", "closed"),
     [
         ([(100, 110, 90, 100), (100, 109, 90, 100)], open_liquidity.OPEN, None, None),
-        ([(100, 110, 90, 100), (100, 110, 90, 100)], open_liquidity.MITIGATED, "EXACT", None),
+        ([(100, 110, 90, 100), (100, 110, 90, 100)], open_liquidity.MITIGATED, "EXACT_EXTREME_TOUCH", None),
         ([(90, 100, 80, 90), (95, 101, 94, 96)], open_liquidity.MITIGATED, "WICK_REACH", None),
-        ([(90, 100, 80, 90), (99, 105, 98, 102)], open_liquidity.MITIGATED, "CLOSE", 1),
-        ([(90, 100, 80, 90), (101, 105, 98, 102)], open_liquidity.MITIGATED, "GAP", 1),
+        ([(90, 100, 80, 90), (99, 105, 98, 102)], open_liquidity.MITIGATED, "CLOSE_AT_OR_BEYOND", 1),
+        ([(90, 100, 80, 90), (101, 105, 98, 102)], open_liquidity.MITIGATED, "GAP_OPEN_AT_OR_BEYOND", 1),
     ],
 )
 def test_open_liquidity_rules(spark, bars, status, mechanism, closed):
@@ -134,7 +135,7 @@ def test_open_liquidity_rules(spark, bars, status, mechanism, closed):
 def test_order_block_edges(spark):
     c = numbered(spark, [(100, 100, 99, 99), (99, 101, 99, 101), (100, 101, 100, 101), (102, 104, 102, 104), (104, 104, 100, 100)], "4h")
     found = {r.row: (r.side, r.disposition) for r in order_block.pairs(c).collect()}
-    assert found[0] == ("BULLISH", "QUALIFIED") and found[3] == ("BEARISH", "QUALIFIED") and found[1][1] == "REJECTED_SAME_DIRECTION"
+    assert found[0] == ("BULLISH", "QUALIFIED_BULLISH_ORDER_BLOCK") and found[3] == ("BEARISH", "QUALIFIED_BEARISH_ORDER_BLOCK") and found[1][1] == "REJECTED_SAME_DIRECTION"
 
 
 def test_touch_episode_fixture(spark):
@@ -166,17 +167,197 @@ def test_swings_have_no_look_ahead(spark):
     assert all(a.side != b.side for a, b in zip(sides, sides[1:]))
 
 
+def make_series(close, atr=4.0, high=None, low=None):
+    n = len(close)
+    return primary_range.Series(high or close, low or close, close, atr if isinstance(atr, list) else [atr] * n)
+
+
+def test_searches_in_pieces_match_brute_force(spark):
+    r = random.Random(12)
+    values = {k: [r.randint(0, 40) for _ in range(500)] for k in "ab"}
+    points = spark.createDataFrame([("X", "1h", k, i, v) for k, vs in values.items() for i, v in enumerate(vs)], "symbol string, timeframe string, kind string, row bigint, value bigint")
+    asked = [(k, i, r.randint(-1, 499), r.randint(0, 42)) for i in range(300) for k in "ab"]
+    queries = spark.createDataFrame([("X", "1h", *q) for q in asked], "symbol string, timeframe string, kind string, id bigint, after bigint, level bigint")
+    want = {(k, i): next((j for j in range(a + 1, 500) if values[k][j] >= level), None) for k, i, a, level in asked}
+    for piece in (4, 60, 4096):
+        got = {(x.kind, x.id): x.hit for x in crossing.first_hits(points, queries, piece).collect()}
+        assert got == {k: v for k, v in want.items() if v is not None}
+    candles_ = spark.createDataFrame([("X", "1h", i, a, b) for i, (a, b) in enumerate(zip(values["a"], values["b"]))], "symbol string, timeframe string, row bigint, high bigint, low bigint")
+    spans = [(i, lo, lo + r.randint(-1, 300)) for i, lo in enumerate(r.choices(range(400), k=80))]
+    df = spark.createDataFrame([("X", "1h", i, lo, min(hi, 499)) for i, lo, hi in spans], "symbol string, timeframe string, block_id bigint, lo bigint, hi bigint")
+    got = {x.block_id: (x.top, x.bottom) for x in order_block.extremes_between(candles_, df, fan=4).collect()}
+    assert got == {i: (max(values["a"][lo : min(hi, 499) + 1]), min(values["b"][lo : min(hi, 499) + 1])) for i, lo, hi in spans if lo <= min(hi, 499)}
+
+
+def test_atr_over_pieces_equals_the_recursion(spark):
+    bars = walk(2600, 8)
+    for length in (1, 2, 14):
+        got = {x.row: x.atr for x in features.with_atr(numbered(spark, bars), length).collect()}
+        trs, atr = [], None
+        for i, (o, h, l, c) in enumerate(bars):
+            h, l = float(h), float(l)
+            before = float(bars[i - 1][3]) if i else None
+            trs.append(h - l if before is None else max(h - l, abs(h - before), abs(l - before)))
+            atr = None if i < length - 1 else sum(trs) / length if i == length - 1 else (atr * (length - 1) + trs[-1]) / length
+            assert (got[i] is None) == (atr is None) and (atr is None or abs(got[i] - atr) < 1e-9)
+
+
+def test_rows_are_numbered_over_months(spark):
+    got = numbered(spark, walk(1600)).orderBy("open_time").select("row").collect()
+    assert [x.row for x in got] == list(range(1600))
+
+
 def test_range_pieces():
     pts = [{"row": r, "confirmed": r + 3, "price": 1.0, "atr": 1.0} for r in (100, 110, 125, 135)]
     a, b = primary_range.anchors(pts, 30)
     assert (a["row"], b["row"]) == (100, 135)
-    s = {"close": [95.0] * 5 + [102.1, 95.0], "atr": [4.0] * 7}
-    assert primary_range.breakout(s, 0, 100, 90, primary_range.LIMITS) == ("UP", "STRONG", 5, 5)
-    s["close"][5:] = [101.1, 101.2]
-    assert primary_range.breakout(s, 0, 100, 90, primary_range.LIMITS) == ("UP", "NORMAL", 5, 6)
+    found = lambda close, atr=4.0: primary_range.breakout(make_series(close, atr), 0, 100, 90, primary_range.LIMITS)
+    assert found([95.0] * 5 + [102.1, 95.0]) == ("UP", "strong", 5, 5)
+    assert found([95.0] * 5 + [102.0, 95.0]) is None  # exactly half an ATR is not beyond
+    assert found([95.0] * 5 + [101.1, 101.2]) == ("UP", "normal", 5, 6)
+    assert found([95.0] * 5 + [101.1, 101.0]) is None
+    assert found([95.0] * 5 + [88.9, 88.5]) == ("DOWN", "normal", 5, 6)
+    assert found([95.0, 100.01], [float("nan")] * 2) == ("UP", "strong", 1, 1)  # a missing ATR is zero
     assert round((106.5 - 93.5) / 100 * 100, 9) == 13
 
 
+def test_false_breaks_end_at_a_breakout():
+    count = lambda close: primary_range.false_breaks(make_series(close), 0, len(close) - 1, 100, 90, primary_range.LIMITS)
+    assert count([95, 100.5, 95, 89.5, 95]) == 2
+    assert count([95, 100.5, 100.5, 95, 102.5, 100.5, 95]) == 2  # what follows the strong close does not count
+    assert count([95, 101.5, 101.5, 100.5]) == 0
+    assert count([95, 101.5]) == 1  # no second close to make it one
+
+
+def test_range_measures_match_plain_sums():
+    r = random.Random(6)
+    close = [100 + r.random() * 9 for _ in range(300)]
+    s = make_series(close)
+    for lo, hi in ((0, 299), (17, 120), (5, 6)):
+        ys = close[lo : hi + 1]
+        n, mx, my = len(ys), (len(ys) - 1) / 2, sum(ys) / len(ys)
+        slope = sum((i - mx) * (y - my) for i, y in enumerate(ys)) / sum((i - mx) ** 2 for i in range(n))
+        path = sum(abs(b - a) for a, b in zip(ys, ys[1:]))
+        assert abs(s.slope(lo, hi) - slope) < 1e-9 and abs(s.efficiency(lo, hi) - abs(ys[-1] - ys[0]) / path) < 1e-9
+    m = primary_range.measure(s, {"HIGH": [], "LOW": []}, 0, 299, 108.0, 101.0, 299, primary_range.LIMITS)
+    above = [y > 104.5 for y in close]
+    assert m.values["inside"] == sum(101 <= y <= 108 for y in close) / 300 and m.values["crossings"] == sum(a != b for a, b in zip(above, above[1:]))
+    assert {"duration", "upper_touches", "lower_touches", "upper_pair", "lower_pair", "causality", "containment"} <= set(m.fails)
+
+
+def test_range_quality_weights():
+    events = [{"price": p, "tolerance": 1.0} for p in (100.0, 100.5, 101.0, 100.0)]
+    values = {"inside": 0.985, "crossings": 3, "drift": 0.175, "efficiency": 0.15, "bars": 84}
+    m = primary_range.Measure(events, events[:2], None, None, values, [])
+    # half of containment, oscillation, flatness and duration; touches (1 + 1/2) / 2; deviations 1/4 (of 0, .25, .25, .75) and 1/4
+    assert abs(primary_range.quality(m, primary_range.LIMITS) - 100 * (0.15 + 0.20 * 0.75 + 0.075 + 0.075 + 0.05 + 0.10 * 0.75)) < 1e-9
+
+
+def test_ranges_nest_by_time_and_merge(spark):
+    base = {"quality": 70.0, "bars": 600, "median_atr": 4.0, "confirmed_row": 510}
+    a = base | {"id": "A", "start_row": 0, "end_row": 900, "top": 110.0, "bottom": 90.0}
+    b = base | {"id": "B", "start_row": 100, "end_row": 700, "top": 130.0, "bottom": 80.0}  # wider in price, shorter in time
+    c = base | {"id": "C", "start_row": 100, "end_row": 699, "top": 111.0, "bottom": 91.0, "quality": 80.0}  # like A
+    ranges = [a, b, c]
+    primary_range.nest(ranges, primary_range.LIMITS)
+    assert [r["parent"] for r in ranges] == [None, "A", "B"]
+    kept = primary_range.without_duplicates([a, c], primary_range.LIMITS)
+    assert [r["id"] for r in kept] == ["C"]
+
+
+def test_default_limits_find_a_range(spark):
+    """700 candles that swing between 95 and 105, then a breakout: one primary range, found without look-ahead."""
+    bars = []
+    for i in range(760):
+        wave = 100 + 4.6 * math.sin(i / 9) + 0.3 * math.sin(i * 1.7)
+        bars.append((wave, wave + 0.25, wave - 0.25, wave + 0.1))
+    whole = bars[:700] + [(106 + i, 107 + i, 105.5 + i, 106.5 + i) for i in range(8)]
+    found = [r for r in primary_range.primary_ranges(numbered(spark, whole)).collect() if r.range_id]
+    assert len(found) >= 1
+    for r in found:
+        assert r.structure == "PRIMARY" and r.status == "BROKEN_UP" and r.breakout_kind == "strong"
+        assert r.start_row + 499 <= r.confirmed_row <= r.end_row == r.first_outside_row - 1 and r.quality >= 60
+        assert r.inside >= 0.97 and r.width_percent <= 13 and r.width_atr >= 2
+    part = [r for r in primary_range.primary_ranges(numbered(spark, whole[: found[0].confirmed_row + 1])).collect()]
+    assert (found[0].start_row, found[0].confirmed_row) in {(r.start_row, r.confirmed_row) for r in part}
+    why = {r.reason: r.candidates for r in primary_range.rejections(numbered(spark, walk(900, 3))).collect()}
+    assert set(why) <= set(primary_range.REASONS) | {"other"}
+
+
+def point(side, extreme, price, atr=1.0):
+    return {"side": side, "sign": 1 if side == "HIGH" else -1, "price": float(price), "extreme": extreme, "atr": atr}
+
+
+def track(kind, close, **more):
+    return kind({"close": close, **more})
+
+
+def test_internal_swing_rules():
+    t = track(swings.Internal, [100.0] * 200)
+    offer = lambda p, row: t.offer(p | {"order": row}, row)
+    offer(point("LOW", 4, 98), 8)
+    offer(point("LOW", 2, 97), 9)
+    offer(point("HIGH", 12, 99.5), 15)  # 2.5 ATR from the low of row 2, 1.5 from that of row 4
+    assert t.anchor["extreme"] == 2 and t.active["price"] == 99.5 and not t.swings  # the seed is not a swing
+    offer(point("HIGH", 14, 99.9, atr=2.0), 16)  # more extreme, but not two of its own ATR
+    assert t.active["price"] == 99.5
+    offer(point("LOW", 16, 97.2), 18)  # held
+    offer(point("HIGH", 17, 101), 20)
+    assert t.active["price"] == 101 and len(t.held) == 1  # replacing keeps what is held
+    offer(point("LOW", 24, 98.5), 26)
+    offer(point("LOW", 25, 96), 27)
+    t.series["close"][28] = 100.1
+    assert t.settle(28) == []  # within one ATR of the pivot
+    t.series["close"][29] = 100.0  # exactly one
+    done = t.settle(29)
+    assert [(x["side"], x["price"], x["confirmed_row"], x["sequence"]) for x in done] == [("HIGH", 101.0, 29, 1), ("LOW", 98.5, 29, 2)]
+    # the low of row 16 is no six rows off; that of row 24 came next and was confirmed at once; that of row 25 was of the wrong side then
+    assert t.active is None and t.held == [] and t.wanted == "HIGH"
+
+
+def test_held_pivots_behind_the_next_active_one_stay_held():
+    t = track(swings.Internal, [100.0] * 60)
+    offer = lambda p, row: t.offer(p | {"order": row}, row)
+    offer(point("LOW", 0, 90), 3)
+    offer(point("HIGH", 10, 100), 13)
+    for extreme, price in ((20, 97), (22, 96)):
+        offer(point("LOW", extreme, price), extreme + 2)
+    t.series["close"][30] = 97.5
+    assert [x["price"] for x in t.settle(30)] == [100.0]
+    assert t.active["price"] == 97 and [x["price"] for x in t.held] == [96]  # a later, lower one does not replace it from hold
+
+
+def test_major_swing_rules():
+    flat = [100.0] * 80
+    high, low = [100.5] * 80, [99.5] * 80
+    high[30], low[10] = 106.0, 95.0
+    t = track(swings.Major, flat, high=high, low=low)
+    swing = lambda p, row, n: p | {"confirmed_row": row, "sequence": n}
+    t.offer(swing(point("LOW", 10, 95), 14, 1), 14)
+    t.offer(swing(point("HIGH", 21, 100.4), 25, 2), 25)  # eleven rows
+    assert t.anchor is None
+    t.offer(swing(point("HIGH", 30, 106), 34, 3), 34)
+    assert t.anchor["extreme"] == 10 and t.active["price"] == 106
+    t.series["close"][40] = 104.6  # 1.4 ATR
+    assert t.settle(40) == []
+    t.series["close"][41] = 104.4
+    assert [x["price"] for x in t.settle(41)] == [106.0]
+    dull = track(swings.Major, flat, high=high, low=[105.0 if i > 10 else x for i, x in enumerate(low)])
+    dull.offer(swing(point("LOW", 10, 95), 14, 1), 14)
+    dull.offer(swing(point("HIGH", 30, 106), 34, 3), 34)
+    assert dull.anchor is None  # a prominence of one ATR is too little
+
+
+def test_too_long_a_chain_is_an_error():
+    t = track(swings.Internal, [0.0] * 10)
+    t.refusal = lambda a, b, row: None
+    t.reversed = lambda p, close: True
+    t.anchor, t.active, t.wanted = point("LOW", 0, 1), point("HIGH", 1, 2), "HIGH"
+    t.held = [point("LOW" if i % 2 == 0 else "HIGH", i, i) for i in range(100)]
+    with pytest.raises(candles.CandleError, match="64"):
+        t.settle(5)
+
+
 def test_pivots_ties(spark):
     bars = [(9.5, 10, 9, 9.5)] * 20
     bars[8] = (9.5, 12, 8, 9.5)
