@@ -167,7 +167,9 @@ def exact_dedup(
 
     texts = rows.withColumns({"raw": F.xxhash64("norm"), "_far": F.lit(0)})
     held = salted(texts).join(wide, ["digest", "_salt"])
-    sources = held if earlier is None else held.unionByName(salted(norm_rows(earlier).withColumns({"raw": F.xxhash64("norm"), "_far": F.lit(1)})).join(wide, ["digest", "_salt"]))
+    if earlier is not None:
+        held = held.unionByName(salted(norm_rows(earlier).withColumns({"raw": F.xxhash64("norm"), "_far": F.lit(1)})).join(wide, ["digest", "_salt"]))
+    sources = written(held.select("digest", "_salt", "rank", "best", "n", "norm"), "lsm-hits")
     keepers = sources.filter("rank = best").groupBy("digest", "n").agg(F.min("norm").alias("kept_norm"))
     keepers = keepers.select("digest", "kept_norm", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"))
     unequal = sources.join(keepers, ["digest", "_salt"]).filter("norm <> kept_norm").select("digest").distinct()
