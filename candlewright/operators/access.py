@@ -95,14 +95,41 @@ def as_of(base: DataFrame, higher: DataFrame, name: str, clock: str = "close", c
     return found.select("_base.*", F.coalesce(F.col("_seen.idx"), F.lit(-1)).alias(f"{name}_idx"), *(F.col(f"_seen.{c}").alias(f"{name}_{c}") for c in carry))
 
 
-def load_multi(tables: dict[str, DataFrame], base: str, start: str, end: str, warmup: int = 0, clock: str = "close") -> DataFrame:
-    """The base timeframe's range with an index column for every other timeframe; none may be finer than the base."""
+def look_back(higher: DataFrame, anchors: DataFrame, end: str, rows: int) -> DataFrame:
+    """Candles of a coarser timeframe before ``end``, from the last ``rows`` that closed before each symbol's anchor (symbol, anchor) on."""
+    near = higher.filter(F.col("open_time") < at(end)).join(F.broadcast(anchors), "symbol")  # one anchor per symbol
+    closed = F.col("close_time") < F.col("anchor")
+    back = F.row_number().over(Window.partitionBy(*SERIES).orderBy(F.desc("open_time")))
+    early = near.filter(closed).withColumn("_back", back).filter(F.col("_back") <= rows).drop("_back")
+    return early.unionByName(near.filter(~closed)).drop("anchor")
+
+
+def load_slices(tables: dict[str, DataFrame], base: str, start: str, end: str, warmup: dict[str, int] | None = None, strict: bool = True) -> dict[str, DataFrame]:
+    """A slice per timeframe: the base's range behind its warm-up, and of the others what that may look at.
+
+    A coarser slice begins with its own warm-up, one candle at least, of those closed before the base's first candle; fewer, if
+    there are no more. None may be finer than the base.
+    """
+    warmup = warmup or {}
     finer = [t for t in tables if Timeframe(t).minutes < Timeframe(base).minutes]
     if base not in tables or finer:
         raise CandleError(f"base {base} missing or coarser than {finer}")
-    out = load(tables[base], start, end, warmup=warmup)
+    if set(warmup) - set(tables):
+        raise CandleError(f"warm-up of {sorted(set(warmup) - set(tables))}, which are not asked for")
+    out = {base: load(tables[base], start, end, warmup=warmup.get(base, 0), strict=strict)}
+    anchors = out[base].groupBy("symbol").agg(F.min("open_time").alias("anchor"))
+    for name in tables:
+        if name != base:
+            out[name] = look_back(tables[name], anchors, end, max(1, warmup.get(name, 0)))
+    return out
+
+
+def load_multi(tables: dict[str, DataFrame], base: str, start: str, end: str, warmup: int | dict[str, int] = 0, clock: str = "close") -> DataFrame:
+    """The base's slice with an index column for every other timeframe: the row of its slice, from 0, that is closed then."""
+    slices = load_slices(tables, base, start, end, warmup if isinstance(warmup, dict) else {base: warmup})
+    out = slices[base]
     for name in sorted((t for t in tables if t != base), key=lambda t: Timeframe(t).minutes):
-        out = as_of(out, tables[name], f"tf_{name}", clock)
+        out = as_of(out, slices[name], f"tf_{name}", clock)
     return out
 
 

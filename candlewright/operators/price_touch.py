@@ -124,6 +124,10 @@ def touches(numbered: DataFrame, zones: DataFrame) -> DataFrame:
     return met.select(*SERIES, "bin", "row", "open_time", "close_time", bars.touch_type(lo, hi).alias("touch_type"), *(v.alias(k) for k, v in bars.interaction_flags(lo, hi, F.col("before")).items())).withColumn("episode_start", F.coalesce(last != F.col("row") - 1, F.lit(True)))
 
 
+#: Labels of how touches spread over time, in the order of their rules.
+PERSISTENCE = ["RECENT_OR_EMERGING", "FREQUENT_BUT_CONCENTRATED", "FREQUENT_AND_PERSISTENT", "INFREQUENT_BUT_PERSISTENT"]
+
+
 def level_stats(met: DataFrame) -> DataFrame:
     """Exact statistics of each zone's touches."""
     count = lambda t: F.count_if(F.col("touch_type") == t)
@@ -136,7 +140,7 @@ def level_stats(met: DataFrame) -> DataFrame:
     ).join(by_month, [*SERIES, "bin"])
     share = F.col("busiest_month") / F.col("touches")
     days = F.datediff("last_touch", "first_touch")
-    label = F.when((F.col("months") <= 2) | (days < 60), "RECENT_OR_EMERGING").when(share >= 0.45, "FREQUENT_BUT_CONCENTRATED").when((F.col("months") >= 6) & (share <= 0.35), "FREQUENT_AND_PERSISTENT").otherwise("INFREQUENT_BUT_PERSISTENT")
+    label = F.when((F.col("months") <= 2) | (days < 60), PERSISTENCE[0]).when(share >= 0.45, PERSISTENCE[1]).when((F.col("months") >= 6) & (share <= 0.35), PERSISTENCE[2]).otherwise(PERSISTENCE[3])
     return out.withColumns({"engagement": (F.col("close_inside") + F.col("body")) / F.col("touches"), "busiest_share": share, "persistence": label})
 
 

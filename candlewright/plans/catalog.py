@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.functions import bars
-from candlewright.operators import access, features, open_liquidity, order_block, price_touch, primary_range, resample, special_swings, swings
+from candlewright.operators import access, audits, features, open_liquidity, order_block, price_touch, primary_range, resample, special_swings, swings
 from candlewright.operators.crossing import first_reaches
 from candlewright.plans.sql import ORACLES
 from candlewright.sources import candles
@@ -147,6 +147,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "swings": lambda s, d: swings.swings(numbered(s, d, "1h")),
     "swing_legs": lambda s, d: swings.legs(numbered(s, d, "1h"), swings.swings(numbered(s, d, "1h"))),
     "swing_forward": lambda s, d: swings.forward(numbered(s, d, "1h"), swings.swings(numbered(s, d, "1h"))),
+    "open_liquidity_audit": lambda s, d: audits.open_liquidity_audit(open_liquidity.candidates(several(s, d))),
+    "order_block_audit": lambda s, d: audits.order_block_audit(order_block.pairs(numbered(s, d, "4h", True)), lived(s, d)),
+    "swing_audit": lambda s, d: audits.swing_audit(swings.swings(numbered(s, d, "1h"))),
+    "special_audit": lambda s, d: audits.special_audit(special_swings.families(special_swings.search_4h(numbered(s, d, "4h", True)))),
     "primary_ranges": lambda s, d: primary_range.primary_ranges(flattened(numbered(s, d, "1h", True))),
     "primary_range_rejections": lambda s, d: primary_range.rejections(flattened(numbered(s, d, "1h", True))),
 }

@@ -132,8 +132,9 @@ ORACLES: dict[str, str] = {
     "asof_1h_4h_close": f"""SELECT b.*, coalesce(h.row, -1) AS h4_idx, h.close AS h4_close, h.open_time AS h4_open_time FROM {candle("1h")} b ASOF LEFT JOIN {rows("4h")} h ON b.symbol = h.symbol AND b.close_time >= h.close_time""",
     "asof_1h_1d_open": f"""SELECT b.*, coalesce(h.row, -1) AS d1_idx, h.high AS d1_high FROM {candle("1h", True)} b ASOF LEFT JOIN {rows("1d", True)} h ON b.symbol = h.symbol AND b.open_time >= h.close_time""",
     "multi_timeframe": f"""WITH c AS {candle("1h")}, b AS (SELECT *, false AS is_warmup FROM c WHERE open_time >= TIMESTAMP '2024-01-10' AND open_time < TIMESTAMP '2024-01-20'
-        UNION ALL SELECT * FROM (SELECT *, true FROM c WHERE close_time < TIMESTAMP '2024-01-10' ORDER BY open_time DESC LIMIT 10))
-        SELECT b.*, coalesce(h.row, -1) AS tf_4h_idx, coalesce(d.row, -1) AS tf_1d_idx FROM b ASOF LEFT JOIN {rows("4h")} h ON b.symbol = h.symbol AND b.close_time >= h.close_time ASOF LEFT JOIN {rows("1d")} d ON b.symbol = d.symbol AND b.close_time >= d.close_time""",
+        UNION ALL SELECT * FROM (SELECT *, true FROM c WHERE close_time < TIMESTAMP '2024-01-10' ORDER BY open_time DESC LIMIT 10)),
+        f AS (SELECT min(open_time) AS anchor FROM b), h AS (SELECT *, row - (SELECT max(row) FROM {rows("4h")} x WHERE x.close_time < anchor) AS i FROM {rows("4h")}, f), d AS (SELECT *, row - (SELECT max(row) FROM {rows("1d")} x WHERE x.close_time < anchor) AS i FROM {rows("1d")}, f)
+        SELECT b.*, coalesce(h.i, -1) AS tf_4h_idx, coalesce(d.i, -1) AS tf_1d_idx FROM b ASOF LEFT JOIN h ON b.symbol = h.symbol AND b.close_time >= h.close_time ASOF LEFT JOIN d ON b.symbol = d.symbol AND b.close_time >= d.close_time""",
     "asof_defects": "SELECT 0::BIGINT AS look_ahead, 0::BIGINT AS skipped, 0::BIGINT AS backward, 0::BIGINT AS out_of_range",
     "bar_shapes": f"""SELECT open_time, CASE WHEN close > open THEN 'BULLISH' WHEN close < open THEN 'BEARISH' ELSE 'DOJI' END AS direction, least(open, close) AS body_low, greatest(open, close) AS body_high,
         abs({exact("close")} - {exact("open")}) / 100.0 AS body, ({exact("high")} - {exact("greatest(open, close)")}) / 100.0 AS upper_wick, ({exact("least(open, close)")} - {exact("low")}) / 100.0 AS lower_wick,
@@ -225,3 +226,16 @@ ORACLES: dict[str, str] = {
         SELECT symbol, side, row, length, CASE WHEN hi - lo + 1 <> np THEN 'BROKEN_PLATEAU' WHEN rep IS NULL THEN 'NOT_CENTRAL' WHEN (peak - ref) * 100 < abs(ref) THEN 'SMALL_OUTBOUND' WHEN NOT (ll <= ref AND ref <= lh) THEN 'NO_REVISIT' ELSE 'VALID' END AS label,
         row + rep - 1 AS extreme_row, abs(peak) / 100.0 AS price, row + length - 1 AS close_row FROM g WHERE got = length""",
 }
+
+
+def sound(checks: str) -> str:
+    """An audit of a sound result: no failures of any check."""
+    return f"SELECT unnest(string_split('{checks}', ' ')) AS check, 0::BIGINT AS failures"
+
+
+ORACLES |= {
+    "open_liquidity_audit": sound("status_known mitigated_has_row mitigated_later mechanism_if_mitigated penetration_not_negative close_not_before_reach terminal_is_last two_sides_per_candle chain_numbered one_open_per_chain"),
+    "order_block_audit": sound("disposition_known side_in_disposition zone_ordered gap_row_after_impulse touch_row_after_impulse midpoint_row_after_impulse full_row_after_impulse invalid_row_after_impulse wick_only_row_after_impulse full_not_before_midpoint invalid_not_before_full episodes_within_touches status_agrees quality_in_range"),
+    "swing_audit": sound("sequence_unbroken sides_alternate confirmed_after_extreme confirmed_in_order spaced displaced labelled"),
+    "special_audit": sound("close_after_opening plateau_in_span boundaries_positive one_primary_per_event"),
+}

@@ -51,17 +51,20 @@ def write_partitioned(candles: DataFrame, path: str, timeframe: str, mode: str =
 
 
 def read_partitioned(spark: SparkSession, path: str, symbols: list[str] | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Candles of [start, end); year bounds prune partitions, open_time is pushed to the scan. A symbol without a partition is an error."""
+    """Candles of [start, end); years and months prune partitions, open_time is pushed to the scan. A symbol without a partition is an error,
+    which the folders' names tell."""
     df = spark.read.parquet(path)
     if symbols is not None:
-        have = {r[0] for r in df.select("symbol").distinct().filter(F.col("symbol").isin(symbols)).collect()}
-        if set(symbols) - have:
-            raise CandleError(f"no partition of {sorted(set(symbols) - have)}")
+        missing = [s for s in symbols if not exists(spark, f"{path}/symbol={s}")]
+        if missing:
+            raise CandleError(f"no partition of {sorted(missing)}")
         df = df.filter(F.col("symbol").isin(symbols))
+    month = (lambda year, month: year * 12 + month) if "month" in df.columns else (lambda year, month: year)
+    own = month(F.col("year"), F.col("month")) if "month" in df.columns else F.col("year")
     if start is not None:
-        df = df.filter((F.col("year") >= int(start[:4])) & (F.col("open_time") >= F.lit(start).cast("timestamp_ntz")))
+        df = df.filter((own >= month(int(start[:4]), int(start[5:7] or 1))) & (F.col("open_time") >= F.lit(start).cast("timestamp_ntz")))
     if end is not None:
-        df = df.filter((F.col("year") <= int(end[:4])) & (F.col("open_time") < F.lit(end).cast("timestamp_ntz")))
+        df = df.filter((own <= month(int(end[:4]), int(end[5:7] or 12))) & (F.col("open_time") < F.lit(end).cast("timestamp_ntz")))
     return df.drop("year", "month")
 
 

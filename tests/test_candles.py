@@ -7,9 +7,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from candlewright.operators import access, crossing, features, open_liquidity, order_block, price_touch, primary_range, resample, special_swings, swings
+from candlewright.operators import access, audits, crossing, features, open_liquidity, order_block, price_touch, primary_range, resample, special_swings, swings
 from candlewright.plans.runner import Lock, Task, exit_code, run_tasks
-from candlewright.sources import candles, sinks
+from candlewright.sources import candles, catalog, sinks
 from candlewright.streaming.candles import run_available, stream_candles, stream_ticks
 
 T0 = dt.datetime(2024, 1, 1)
@@ -422,3 +422,64 @@ def test_runner(tmp_path):
     (tmp_path / "l").write_text("999999999")
     with Lock(str(tmp_path / "l")):
         pass
+
+
+def test_catalog_lists_resolves_and_checks(spark, tmp_path):
+    path = f"file://{tmp_path}/store"
+    sinks.write_partitioned(make(spark, walk(24 * 70)), path, "1h")
+    listed = catalog.partitions(spark, path, "1h").collect()
+    assert sorted((r.symbol, r.year, r.month) for r in listed) == [("X", 2024, m) for m in (1, 2, 3)]
+    files = catalog.resolve(spark, path, "1h", ["X"], "2024-02-03", "2024-02-20")
+    assert [r.month for r in files.collect()] == [2]
+    with pytest.raises(candles.CandleError, match="'Y'"):
+        catalog.resolve(spark, path, "1h", ["X", "Y"], "2024-02-03", "2024-02-20")
+    assert catalog.identity(spark, path, "1h").isEmpty()
+    before = spark.createDataFrame(catalog.source_hashes(spark, catalog.partitions(spark, path, "1h")).collect())
+    assert catalog.changed(before, before).isEmpty()
+    march = [r.path for r in listed if r.month == 3][0]
+    january = make(spark, walk(30)).drop("symbol")
+    january.write.mode("append").parquet(march.rsplit("/", 1)[0])
+    assert [(r.month, r.misplaced) for r in catalog.identity(spark, path, "1h").collect()] == [(3, 30)]
+    after = catalog.source_hashes(spark, catalog.partitions(spark, path, "1h"))
+    assert {r.status for r in catalog.changed(before, after).collect()} == {"new"}
+    pruned = sinks.read_partitioned(spark, path, ["X"], "2024-02-03", "2024-02-05")
+    assert pruned.count() == 48 and "month" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_symbol_metadata_and_siblings(spark):
+    rows = [("A", "PERPETUAL", "USDT", "USDT", "TRADING", "1569398400000"), ("B", "CURRENT_QUARTER", "USDT", "BTC", "BREAK", "x"), ("C", None, "USDT", "USDT", None, None)]
+    info = spark.createDataFrame(rows, "symbol string, contractType string, quoteAsset string, marginAsset string, status string, onboardDate string")
+    got = {r.symbol: r for r in catalog.validate_symbols(spark, info, ["A", "B", "C", "D"]).collect()}
+    assert got["A"].validated and got["A"].warnings == [] and got["A"].onboard_time == dt.datetime(2019, 9, 25, 8)
+    assert len(got["B"].problems) == 2 and len(got["B"].warnings) == 1 and got["B"].onboard_time is None
+    assert not got["C"].validated and got["D"].problems == ["not listed"]
+    scope = {r.name: (r.approved, r.own) for r in catalog.sibling_scope(spark, ["15m", "1h", "notes"], "1h").collect()}
+    assert scope == {"15m": (True, False), "1h": (True, True), "notes": (False, False)}
+
+
+def test_slices_look_back_as_far_as_asked(spark):
+    bars = walk(24 * 10)
+    base = make(spark, bars)
+    tables = {"1h": base, "4h": resample.fold(base, "4h", child="1h"), "1d": resample.fold(base, "1d", child="1h")}
+    slices = access.load_slices(tables, "1h", "2024-01-05 10:00:00", "2024-01-06 00:00:00", {"1h": 5, "4h": 3})
+    span = {k: (v.count(), v.agg(F.min("open_time")).first()[0]) for k, v in slices.items()}
+    assert span["1h"] == (5 + 14, dt.datetime(2024, 1, 5, 5))
+    assert span["4h"][1] == dt.datetime(2024, 1, 4, 16)  # three closed before 05:00, from 16:00 on; the one that is open then follows
+    assert span["1d"] == (2, dt.datetime(2024, 1, 4))
+    first = access.load_multi(tables, "1h", "2024-01-05 10:00:00", "2024-01-06 00:00:00", {"1h": 5, "4h": 3}).orderBy("open_time").first()
+    assert (first.tf_4h_idx, first.tf_1d_idx) == (2, 0)
+    with pytest.raises(candles.CandleError, match="warm-up"):
+        access.load_slices(tables, "1h", "2024-01-05", "2024-01-06", {"2h": 1})
+
+
+def test_audits_see_broken_results(spark):
+    rows = numbered(spark, walk(120, 4))
+    found = open_liquidity.candidates(rows)
+    assert {r.failures for r in audits.open_liquidity_audit(found).collect()} == {0}
+    broken = found.withColumn("mitigation_row", F.when(F.col("row") == 5, 1).otherwise(F.col("mitigation_row")))
+    assert any(r.failures for r in audits.open_liquidity_audit(broken).collect())
+    s = swings.swings(numbered(spark, walk(400, 11)))
+    assert {r.failures for r in audits.swing_audit(s).collect()} == {0}
+    assert any(r.failures for r in audits.swing_audit(s.withColumn("side", F.lit("HIGH"))).collect())
+    stats = price_touch.level_stats(price_touch.touches(rows, price_touch.peaks(rows)))
+    assert {r.failures for r in audits.touch_audit(stats).collect()} == {0}
