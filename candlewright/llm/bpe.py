@@ -179,22 +179,24 @@ class Memo(dict):
 class Encoder:
     """Text to ids. ``feed`` takes the next part of a text and ``finish`` ends it; both yield ids as decimal text."""
 
-    def __init__(self, table: MergeTable, memo: int = 200_000, block: int = BLOCK):
+    def __init__(self, table: MergeTable, memo: int = 250_000, block: int = BLOCK):
         self.table, self.block = table, block
-        self._word = Memo(lambda w: ",".join(map(str, table.stream(w.encode()))), memo // 2)
-        self._chunk = Memo(self._merged, memo)
+        # neither memo refers to the encoder, so both go with it, not with the next collection of cycles
+        word = Memo(lambda w: ",".join(map(str, table.stream(w.encode()))), memo // 2)
+
+        def merged(chunk: str) -> str:
+            """A chunk of one pretoken, as most are, is remembered as a chunk only."""
+            words = _pretokens(chunk)
+            if len(words) == 1:
+                return word.get(chunk) or ",".join(map(str, table.stream(chunk.encode())))
+            return ",".join(map(word.__getitem__, words))
+
+        self._word, self._chunk = word, Memo(merged, memo)
         self._longest = max(map(len, table.special), default=0)
         self._raw = ""  # may begin a special token
         self._text = ""  # plain text that is not settled
         self._open: tuple | None = None  # a pretoken without end so far: its class of characters and its Piece
 
-    def _merged(self, chunk: str) -> str:
-        """A chunk of one pretoken, as most are, is remembered as a chunk only."""
-        words = _pretokens(chunk)
-        if len(words) == 1:
-            return self._word.get(chunk) or ",".join(map(str, self.table.stream(chunk.encode())))
-        return ",".join(map(self._word.__getitem__, words))
-
     def feed(self, text: str) -> Iterator[str]:
         for lo in range(0, len(text), self.block):
             yield from self._specials(text[lo : lo + self.block], False)
@@ -318,14 +320,9 @@ def table_of(spec: str) -> MergeTable:
     return MergeTable(json.loads(spec))
 
 
-@lru_cache(1)
-def encoder_of(spec: str) -> Encoder:
-    """One encoder for each worker process: tasks share its memory of words, and no task leaves one behind."""
-    return Encoder(table_of(spec))
-
-
 def _rows(spec: str, with_ids: bool):
-    table, encoder = table_of(spec), encoder_of(spec)
+    table = table_of(spec)
+    encoder = Encoder(table)
 
     def one(text: str | None) -> tuple:
         ids, back, decoder, n, kept = hashlib.sha256(), hashlib.sha256(), Decoder(table), 0, []

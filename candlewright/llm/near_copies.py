@@ -111,8 +111,8 @@ def measured(texts: DataFrame, words: int, similarity: float, seed: int, sample_
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
                 hashes = [shingle_hashes(t, words, seed) for t in part.column(2).to_pylist()]
                 sets = [np.unique(x) for x in hashes]
                 bytes_of = [x.tobytes() for x in sets]
@@ -143,8 +143,8 @@ class Checker:
 
         def run(batches):
             for batch in batches:
-                for lo in range(0, batch.num_rows, 256):
-                    part = batch.slice(lo, 256)
+                for lo in range(0, batch.num_rows, 64):
+                    part = batch.slice(lo, 64)
                     found = [shingle_set(t, words, seed).view(np.int64) for t in part.column(1).to_pylist()]
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
 
