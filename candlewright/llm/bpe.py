@@ -320,9 +320,9 @@ def table_of(spec: str) -> MergeTable:
     return MergeTable(json.loads(spec))
 
 
-def _rows(spec: str, with_ids: bool):
+def _rows(spec: str, with_ids: bool, memo: int):
     table = table_of(spec)
-    encoder = Encoder(table)
+    encoder = Encoder(table, memo)
 
     def one(text: str | None) -> tuple:
         ids, back, decoder, n, kept = hashlib.sha256(), hashlib.sha256(), Decoder(table), 0, []
@@ -339,18 +339,19 @@ def _rows(spec: str, with_ids: bool):
     return one
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, memo: int = 250_000) -> DataFrame:
     """One row per row of ``docs``: id, n_tokens, ids_sha256, decoded_sha256, and ``ids`` if asked for.
 
     Texts are encoded whole. Null counts as empty; an empty text has no tokens and the digests of the empty string.
     Special tokens' strings in a text become those tokens, as the tokenizer's file has them. Repeated rows give repeated
     results; other columns are ignored. The tokenizer's file (a few MB) is read on the driver and broadcast.
+    A task remembers the tokens of ``memo`` words and a half, twice: 160 MB of the default, 50 MB of 80,000.
     """
     spec = docs.sparkSession.sparkContext.broadcast(load(tokenizer))
     schema = f"{id_col} bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches):
-        one = _rows(spec.value, with_ids)
+        one = _rows(spec.value, with_ids, memo)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
