@@ -45,7 +45,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per row doc_id, n_tokens and digests of its ids and of the text decoded from them; a null text is empty."""
-    return encode_documents(docs, tokenizer_path())
+    return encode_documents(docs, tokenizer_path(), memo=80_000)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mixing), ("tokens", tokens)]
