@@ -76,16 +76,18 @@ def bound(rows: DataFrame, percent: str, kind: str) -> DataFrame:
     """The first binding close of each opening with its extreme and boundaries."""
     first = Window.partitionBy(*SERIES, "row").orderBy("k")
     rows = rows.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return judged(extreme_fields(rows), percent).withColumn("kind", F.lit(kind))
+    return judged(extreme_fields(rows), percent, 2 * F.col("b.c") + F.col("b.o"), 3).withColumn("kind", F.lit(kind))
 
 
-def judged(rows: DataFrame, percent: str) -> DataFrame:
+def judged(rows: DataFrame, percent: str, target: Column, parts: int) -> DataFrame:
+    """With boundaries, reason, penetration, and ``completion_error``: how far, in percent, the close is from ``target`` / ``parts``, the price that it had to reach."""
     opening, closing = F.col("peak") - F.col("b.o"), F.col("peak") - F.col("z.c")
     reason = F.when(~enough(opening, F.col("b.o"), percent), "OPEN_BOUNDARY").when(~enough(closing, F.col("z.c"), percent), "CLOSE_BOUNDARY").otherwise("OK")
     of = lambda d, r: F.round(d.cast("double") / F.abs(r).cast("double") * 100, 10)
     body = F.abs(F.col("b.c") - F.col("b.o"))
     depth = F.when(body > 0, F.round((F.col("b.c") - F.col("z.c")).cast("double") / body.cast("double"), 10))
-    return rows.withColumns({"reason": reason, "open_percent": of(opening, F.col("b.o")), "close_percent": of(closing, F.col("z.c")), "penetration": depth, "price": F.abs("peak"), "close_row": F.col("row") + F.col("k")})
+    error = of(F.abs(parts * F.col("z.c") - target), target)
+    return rows.withColumns({"reason": reason, "completion_error": error, "open_percent": of(opening, F.col("b.o")), "close_percent": of(closing, F.col("z.c")), "penetration": depth, "price": F.abs("peak"), "close_row": F.col("row") + F.col("k")})
 
 
 def search_4h(numbered: DataFrame, percent: str = "1.30") -> DataFrame:
@@ -98,16 +100,17 @@ def search_4h(numbered: DataFrame, percent: str = "1.30") -> DataFrame:
     zero = rows.filter(full).withColumns({"k": F.lit(1), "z": nxt})
     peak = F.greatest(F.col("b.h"), F.col("z.h"))
     zero = zero.withColumns({"peak": peak, "plateau_start": F.when(F.col("b.h") == peak, F.col("row")).otherwise(F.col("row") + 1), "plateau_end": F.when(F.col("z.h") == peak, F.col("row") + 1).otherwise(F.col("row"))})
-    zero = judged(zero, percent).withColumn("reason", F.when(F.col("z.c") >= F.col("z.o"), "DIRECTION").otherwise(F.col("reason"))).withColumn("kind", F.lit("ZERO"))
+    zero = judged(zero, percent, F.col("b.o"), 1).withColumn("reason", F.when(F.col("z.c") >= F.col("z.o"), "DIRECTION").otherwise(F.col("reason"))).withColumn("kind", F.lit("ZERO"))
     later = rows.filter(~full).withColumn("k", F.explode(F.filter(F.array(*map(F.lit, range(2, 7))), lambda k: k <= F.size("f")))).withColumn("z", F.get("f", F.col("k") - 1))
     depth = F.col("b.c") - F.col("z.c")
     return zero.unionByName(bound(later.filter(3 * depth >= F.col("b.c") - F.col("b.o")), percent, "NORMAL"), allowMissingColumns=True)
 
 
-def families(found: DataFrame, target: float = 1.0) -> DataFrame:
-    """Passing swings as events: of those with one side, price and plateau the first by key is PRIMARY, the rest DERIVED."""
+def families(found: DataFrame) -> DataFrame:
+    """Passing swings as events: of those with one side, price and plateau the first by key (length, completion error, lesser
+    boundary descending, close, opening descending) is PRIMARY, the rest DERIVED."""
     rows = found.filter("reason = 'OK'").withColumn("event_id", F.concat_ws("|", "side", F.col("price").cast("string"), "plateau_start", "plateau_end"))
-    key = [F.col("close_row") - F.col("row"), F.abs(F.col("penetration") - target), F.desc(F.least("open_percent", "close_percent")), F.col("close_row"), F.desc("row")]
+    key = [F.col("close_row") - F.col("row"), "completion_error", F.desc(F.least("open_percent", "close_percent")), F.col("close_row"), F.desc("row")]
     order = Window.partitionBy(*SERIES, "event_id").orderBy(*key)
     return rows.withColumn("family", F.when(F.row_number().over(order) == 1, "PRIMARY").otherwise("DERIVED")).drop("b", "f", "z", "peak")
 
@@ -153,12 +156,12 @@ def resolve(swings: list[dict]) -> dict[int, str]:
 
 def suppress(events: DataFrame) -> DataFrame:
     """Primaries with ``outcome``; a series and side is one task over its passing swings only."""
-    rows = events.filter("family = 'PRIMARY'").select(*SERIES, "side", "row", "close_row", "plateau_end", F.coalesce("penetration", F.lit(1.0)).alias("penetration"), F.least("open_percent", "close_percent").alias("edge"))
+    rows = events.filter("family = 'PRIMARY'").select(*SERIES, "side", "row", "close_row", "plateau_end", "completion_error", F.least("open_percent", "close_percent").alias("edge"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         swings = pdf.to_dict("records")
         for s in swings:
-            s["key"] = (s["close_row"] - s["row"], abs(s["penetration"] - 1), -s["edge"], s["close_row"], -s["row"])
+            s["key"] = (s["close_row"] - s["row"], s["completion_error"], -s["edge"], s["close_row"], -s["row"])
         outcome = resolve(swings)
         out = pdf[[*SERIES, "side", "row"]].copy()
         out["outcome"] = [outcome[i] for i in range(len(swings))]

@@ -102,6 +102,60 @@ def openings(timeframe: str, by_type: bool) -> str:
     f AS (SELECT a.symbol, a.row, a.side, a.sgn, s.row - a.row AS k, sgn * o AS o, CASE WHEN sgn > 0 THEN h ELSE -l END AS h, CASE WHEN sgn > 0 THEN l ELSE -h END AS l, sgn * c AS c
           FROM a JOIN s ON s.symbol = a.symbol AND s.row BETWEEN a.row AND a.row + 10)"""
 
+#: Exact statistics of the zones of peaks.
+LEVELS = f"""WITH RECURSIVE {BINNED}, m AS (SELECT s.*, p.bin, zone_lower AS zl, zone_upper AS zu, lag(s.row) OVER (PARTITION BY s.timeframe, p.bin ORDER BY s.row) AS was, sb.close AS pc
+            FROM peak p JOIN s ON s.timeframe = p.timeframe AND s.high >= zone_lower AND s.low <= zone_upper LEFT JOIN s sb ON sb.timeframe = s.timeframe AND sb.row = s.row - 1),
+        y AS (SELECT *, CASE WHEN close BETWEEN zl AND zu THEN 'C' WHEN greatest(open, close) >= zl AND least(open, close) <= zu THEN 'B' ELSE 'W' END AS kind, count(*) OVER (PARTITION BY timeframe, bin, strftime(open_time, '%Y-%m')) AS inm FROM m),
+        z AS (SELECT timeframe, bin, count(*) AS touches, count(*) FILTER (WHERE was IS NULL OR was <> row - 1) AS episodes, count(*) FILTER (WHERE kind = 'C') AS close_inside, count(*) FILTER (WHERE kind = 'B') AS body, count(*) FILTER (WHERE kind = 'W') AS wick,
+            count(DISTINCT open_time::DATE) AS dates, count(DISTINCT {WEEK}) AS weeks, count(DISTINCT strftime(open_time, '%Y-%m')) AS months, count(DISTINCT (year(open_time), quarter(open_time))) AS quarters, count(DISTINCT year(open_time)) AS years, min(open_time) AS first_touch, max(open_time) AS last_touch,
+            count(*) FILTER (WHERE open BETWEEN zl AND zu) AS n_open_inside, count(*) FILTER (WHERE low < zl AND high > zu) AS n_crosses, count(*) FILTER (WHERE pc > zu) AS n_from_above, count(*) FILTER (WHERE pc < zl) AS n_from_below,
+            count(*) FILTER (WHERE close > open) AS n_bullish, count(*) FILTER (WHERE close < open) AS n_bearish, count(*) FILTER (WHERE close = open) AS n_doji, max(inm) AS busiest FROM y GROUP BY ALL)"""
+
+
+def pct(value: str) -> str:
+    """Average rank less one over the rows less one; 1 for a single row."""
+    by = f"OVER (PARTITION BY timeframe ORDER BY {value})"
+    return f"CASE WHEN count(*) OVER (PARTITION BY timeframe) = 1 THEN 1.0 ELSE (rank() {by} + (count(*) OVER (PARTITION BY timeframe, {value}) - 1) / 2 - 1) / (count(*) OVER (PARTITION BY timeframe) - 1) END"
+
+
+SPECIAL_30M = f"""WITH RECURSIVE {openings("30m", False)}, b AS (SELECT * FROM f WHERE k = 0),
+        z AS (SELECT b.symbol, b.row, b.side, f.k, b.o AS bo, b.c AS bc, f.o AS zo, f.c AS zc FROM b JOIN f ON f.symbol = b.symbol AND f.row = b.row AND f.k BETWEEN 7 AND 10
+              WHERE b.c - f.c >= 0 AND 3 * (b.c - f.c) >= b.c - b.o AND 3 * (b.c - f.c) <= 5 * (b.c - b.o) AND f.c < f.o),
+        p AS (SELECT x.symbol, x.row, x.k, x.c, x.l FROM f x JOIN f y ON y.symbol = x.symbol AND y.row = x.row AND y.k = x.k + 1 WHERE x.k >= 1 AND x.c < x.o AND y.c > y.o),
+        r AS (SELECT z.symbol, z.row, z.k, arg_min(p.l, row(p.c, -p.k)) AS rl FROM z JOIN p ON p.symbol = z.symbol AND p.row = z.row AND p.k <= z.k - 2 GROUP BY ALL),
+        w AS (SELECT z.*, row_number() OVER (PARTITION BY symbol, row ORDER BY k) AS n FROM z LEFT JOIN r USING (symbol, row, k) WHERE rl IS NULL OR rl >= zc),
+        i AS (SELECT w.symbol, w.row, max(f.h) AS peak FROM w JOIN f ON f.symbol = w.symbol AND f.row = w.row AND f.k BETWEEN 1 AND w.k - 1 WHERE n = 1 GROUP BY ALL),
+        t AS (SELECT w.symbol, w.row, max(f.k) AS e, max(f.k) - coalesce(max(f.k) FILTER (WHERE f.h <> peak AND f.k < le), 0) AS run, any_value(le) AS le, coalesce(max(f.k) FILTER (WHERE f.h <> peak AND f.k < le), 0) AS gap
+              FROM w JOIN i USING (symbol, row) JOIN (SELECT w.symbol, w.row, max(f.k) AS le FROM w JOIN i USING (symbol, row) JOIN f ON f.symbol = w.symbol AND f.row = w.row AND f.k BETWEEN 1 AND w.k - 1 AND f.h = peak WHERE n = 1 GROUP BY ALL) USING (symbol, row)
+              JOIN f ON f.symbol = w.symbol AND f.row = w.row AND f.k BETWEEN 1 AND w.k - 1 WHERE n = 1 GROUP BY ALL),
+        found AS (SELECT w.symbol, w.side, w.row, w.k, 'NORMAL' AS kind, CASE WHEN (peak - bo) * 100 < abs(bo) THEN 'OPEN_BOUNDARY' WHEN (peak - zc) * 100 < abs(zc) THEN 'CLOSE_BOUNDARY' ELSE 'OK' END AS reason, abs(peak) / 100.0 AS price,
+        w.row + gap + 1 AS plateau_start, w.row + le AS plateau_end, round((peak - bo) / abs(bo) * 100, 10) AS open_percent, round((peak - zc) / abs(zc) * 100, 10) AS close_percent, w.row + w.k AS close_row, round(abs(3 * zc - 2 * bc - bo) / abs(2 * bc + bo) * 100, 10) AS miss FROM w JOIN i USING (symbol, row) JOIN t USING (symbol, row) WHERE n = 1)"""
+
+SPECIAL_4H = f"""WITH RECURSIVE {openings("4h", True)}, b AS (SELECT * FROM f WHERE k = 0), n AS (SELECT * FROM f WHERE k = 1),
+        zero AS (SELECT b.symbol, b.side, b.row, 1 AS k, 'ZERO' AS kind, b.o AS bo, b.c AS bc, n.o AS zo, n.c AS zc, greatest(b.h, n.h) AS peak, b.row + (b.h < n.h)::INT AS plateau_start, b.row + (n.h >= b.h)::INT AS plateau_end
+                 FROM b JOIN n USING (symbol, row) WHERE n.c <= b.o),
+        z AS (SELECT b.symbol, b.side, b.row, f.k, b.o AS bo, b.c AS bc, f.o AS zo, f.c AS zc, row_number() OVER (PARTITION BY b.symbol, b.row ORDER BY f.k) AS i FROM b JOIN n USING (symbol, row) JOIN f ON f.symbol = b.symbol AND f.row = b.row AND f.k BETWEEN 2 AND 6
+              WHERE n.c > b.o AND 3 * (b.c - f.c) >= b.c - b.o),
+        inner_ AS (SELECT z.symbol, z.row, f.k AS j, f.h, max(f.h) OVER (PARTITION BY z.symbol, z.row) AS peak FROM z JOIN f ON f.symbol = z.symbol AND f.row = z.row AND f.k BETWEEN 1 AND z.k - 1 WHERE i = 1),
+        lasts AS (SELECT symbol, row, any_value(peak) AS peak, max(j) FILTER (WHERE h = peak) AS le FROM inner_ GROUP BY ALL),
+        runs AS (SELECT symbol, row, coalesce(max(j) FILTER (WHERE h <> inner_.peak AND j < le), 0) AS gap FROM inner_ JOIN lasts USING (symbol, row) GROUP BY ALL),
+        both_ AS (SELECT * FROM zero UNION ALL SELECT z.symbol, side, z.row, k, 'NORMAL', bo, bc, zo, zc, peak, z.row + gap + 1, z.row + le FROM z JOIN lasts USING (symbol, row) JOIN runs USING (symbol, row) WHERE i = 1),
+        found AS (SELECT symbol, side, row, k, kind, CASE WHEN kind = 'ZERO' AND zc >= zo THEN 'DIRECTION' WHEN (peak - bo) * 1000 < abs(bo) * 13 THEN 'OPEN_BOUNDARY' WHEN (peak - zc) * 1000 < abs(zc) * 13 THEN 'CLOSE_BOUNDARY' ELSE 'OK' END AS reason, abs(peak) / 100.0 AS price,
+        plateau_start, plateau_end, round((peak - bo) / abs(bo) * 100, 10) AS open_percent, round((peak - zc) / abs(zc) * 100, 10) AS close_percent, row + k AS close_row, CASE kind WHEN 'ZERO' THEN round(abs(zc - bo) / abs(bo) * 100, 10) ELSE round(abs(3 * zc - 2 * bc - bo) / abs(2 * bc + bo) * 100, 10) END AS miss FROM both_)"""
+
+#: Events of the passing swings in ``found``: the first of a family is primary; of primaries that overlap and hold each other's extreme, one stays.
+OUTCOMES = """,
+        fam AS (SELECT *, side || '|' || printf('%d.%02d000000', CAST(round(price * 100) AS BIGINT) // 100, CAST(round(price * 100) AS BIGINT) % 100) || '|' || plateau_start || '|' || plateau_end AS event_id, least(open_percent, close_percent) AS edge FROM found WHERE reason = 'OK'),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY symbol, event_id ORDER BY k, miss, edge DESC, close_row, row DESC) AS n FROM fam),
+        prim AS (SELECT symbol, side, row AS x, close_row AS z, plateau_end AS e, row_number() OVER (PARTITION BY symbol, side ORDER BY k, miss, edge DESC, close_row, row DESC) AS place FROM placed WHERE n = 1),
+        link AS (SELECT a.symbol, a.side, a.x, b.x AS y FROM prim a JOIN prim b USING (symbol, side) WHERE a.x <= b.z AND b.x <= a.z AND (b.e BETWEEN a.x AND a.z OR a.e BETWEEN b.x AND b.z)),
+        reach AS (SELECT symbol, side, x, y FROM link UNION SELECT r.symbol, r.side, r.x, l.y FROM reach r JOIN link l ON l.symbol = r.symbol AND l.side = r.side AND l.x = r.y),
+        fate AS (SELECT a.symbol, a.side, a.x, any_value(a.z) AS z, any_value(a.place) AS place, min(b.place) AS best, arg_min(b.x, b.place) AS wx, arg_min(b.z, b.place) AS wz,
+                 bool_or(b.x <= a.x AND a.z <= b.z AND (b.x < a.x OR a.z < b.z)) AS inside FROM prim a JOIN reach r USING (symbol, side, x) JOIN prim b ON b.symbol = a.symbol AND b.side = a.side AND b.x = r.y GROUP BY ALL)
+        SELECT symbol, side, row, close_row, price, event_id, CASE WHEN n = 1 THEN 'PRIMARY' ELSE 'DERIVED' END AS family,
+        CASE WHEN n > 1 THEN NULL WHEN place = best THEN 'KEPT' WHEN inside AND NOT (row <= wx AND wz <= close_row) THEN 'NESTED' ELSE 'LONGER' END AS outcome
+        FROM placed LEFT JOIN (SELECT symbol, side, x AS row, place, best, wx, wz, inside FROM fate) USING (symbol, side, row)"""
+
 
 ORACLES: dict[str, str] = {
     "ohlcv_1h": f"SELECT * FROM {candle('1h')}",
@@ -180,37 +234,24 @@ ORACLES: dict[str, str] = {
         SELECT b.symbol, block_row AS row, lo AS zone_lower, hi AS zone_upper, dense_rank() OVER (PARTITION BY b.symbol ORDER BY low) AS cluster, n AS cluster_size FROM b JOIN k ON k.symbol = b.symbol AND k.x = b.block_row""",
     "touch_density": f"WITH {BINNED} SELECT symbol, timeframe, bin, touches, episodes, close_inside, months, smoothed FROM smooth",
     "touch_peaks": f"WITH {BINNED} SELECT * FROM peak",
-    "touch_levels": f"""WITH {BINNED}, m AS (SELECT s.*, p.bin, zone_lower AS zl, zone_upper AS zu, lag(s.row) OVER (PARTITION BY s.timeframe, p.bin ORDER BY s.row) AS was, sb.close AS pc
-            FROM peak p JOIN s ON s.timeframe = p.timeframe AND s.high >= zone_lower AND s.low <= zone_upper LEFT JOIN s sb ON sb.timeframe = s.timeframe AND sb.row = s.row - 1),
-        y AS (SELECT *, CASE WHEN close BETWEEN zl AND zu THEN 'C' WHEN greatest(open, close) >= zl AND least(open, close) <= zu THEN 'B' ELSE 'W' END AS kind, count(*) OVER (PARTITION BY timeframe, bin, strftime(open_time, '%Y-%m')) AS inm FROM m),
-        z AS (SELECT timeframe, bin, count(*) AS touches, count(*) FILTER (WHERE was IS NULL OR was <> row - 1) AS episodes, count(*) FILTER (WHERE kind = 'C') AS close_inside, count(*) FILTER (WHERE kind = 'B') AS body, count(*) FILTER (WHERE kind = 'W') AS wick,
-            count(DISTINCT open_time::DATE) AS dates, count(DISTINCT {WEEK}) AS weeks, count(DISTINCT strftime(open_time, '%Y-%m')) AS months, count(DISTINCT (year(open_time), quarter(open_time))) AS quarters, count(DISTINCT year(open_time)) AS years, min(open_time) AS first_touch, max(open_time) AS last_touch,
-            count(*) FILTER (WHERE open BETWEEN zl AND zu) AS n_open_inside, count(*) FILTER (WHERE low < zl AND high > zu) AS n_crosses, count(*) FILTER (WHERE pc > zu) AS n_from_above, count(*) FILTER (WHERE pc < zl) AS n_from_below,
-            count(*) FILTER (WHERE close > open) AS n_bullish, count(*) FILTER (WHERE close < open) AS n_bearish, count(*) FILTER (WHERE close = open) AS n_doji, max(inm) AS busiest FROM y GROUP BY ALL)
+    "touch_levels": LEVELS + """
         SELECT * EXCLUDE (busiest), (close_inside + body) / touches AS engagement, CASE WHEN months <= 2 OR date_diff('day', first_touch, last_touch) < 60 THEN 'RECENT_OR_EMERGING' WHEN busiest / touches >= 0.45 THEN 'FREQUENT_BUT_CONCENTRATED' WHEN months >= 6 AND busiest / touches <= 0.35 THEN 'FREQUENT_AND_PERSISTENT' ELSE 'INFREQUENT_BUT_PERSISTENT' END AS persistence FROM z""",
-    "special_30m": f"""WITH {openings("30m", False)}, b AS (SELECT * FROM f WHERE k = 0),
-        z AS (SELECT b.symbol, b.row, b.side, f.k, b.o AS bo, b.c AS bc, f.o AS zo, f.c AS zc FROM b JOIN f ON f.symbol = b.symbol AND f.row = b.row AND f.k BETWEEN 7 AND 10
-              WHERE b.c - f.c >= 0 AND 3 * (b.c - f.c) >= b.c - b.o AND 3 * (b.c - f.c) <= 5 * (b.c - b.o) AND f.c < f.o),
-        p AS (SELECT x.symbol, x.row, x.k, x.c, x.l FROM f x JOIN f y ON y.symbol = x.symbol AND y.row = x.row AND y.k = x.k + 1 WHERE x.k >= 1 AND x.c < x.o AND y.c > y.o),
-        r AS (SELECT z.symbol, z.row, z.k, arg_min(p.l, row(p.c, -p.k)) AS rl FROM z JOIN p ON p.symbol = z.symbol AND p.row = z.row AND p.k <= z.k - 2 GROUP BY ALL),
-        w AS (SELECT z.*, row_number() OVER (PARTITION BY symbol, row ORDER BY k) AS n FROM z LEFT JOIN r USING (symbol, row, k) WHERE rl IS NULL OR rl >= zc),
-        i AS (SELECT w.symbol, w.row, max(f.h) AS peak FROM w JOIN f ON f.symbol = w.symbol AND f.row = w.row AND f.k BETWEEN 1 AND w.k - 1 WHERE n = 1 GROUP BY ALL),
-        t AS (SELECT w.symbol, w.row, max(f.k) AS e, max(f.k) - coalesce(max(f.k) FILTER (WHERE f.h <> peak AND f.k < le), 0) AS run, any_value(le) AS le, coalesce(max(f.k) FILTER (WHERE f.h <> peak AND f.k < le), 0) AS gap
-              FROM w JOIN i USING (symbol, row) JOIN (SELECT w.symbol, w.row, max(f.k) AS le FROM w JOIN i USING (symbol, row) JOIN f ON f.symbol = w.symbol AND f.row = w.row AND f.k BETWEEN 1 AND w.k - 1 AND f.h = peak WHERE n = 1 GROUP BY ALL) USING (symbol, row)
-              JOIN f ON f.symbol = w.symbol AND f.row = w.row AND f.k BETWEEN 1 AND w.k - 1 WHERE n = 1 GROUP BY ALL)
-        SELECT w.symbol, w.side, w.row, w.k, 'NORMAL' AS kind, CASE WHEN (peak - bo) * 100 < abs(bo) THEN 'OPEN_BOUNDARY' WHEN (peak - zc) * 100 < abs(zc) THEN 'CLOSE_BOUNDARY' ELSE 'OK' END AS reason, abs(peak) / 100.0 AS price,
-        w.row + gap + 1 AS plateau_start, w.row + le AS plateau_end, round((peak - bo) / abs(bo) * 100, 10) AS open_percent, round((peak - zc) / abs(zc) * 100, 10) AS close_percent, w.row + w.k AS close_row FROM w JOIN i USING (symbol, row) JOIN t USING (symbol, row) WHERE n = 1""",
-    "special_4h": f"""WITH {openings("4h", True)}, b AS (SELECT * FROM f WHERE k = 0), n AS (SELECT * FROM f WHERE k = 1),
-        zero AS (SELECT b.symbol, b.side, b.row, 1 AS k, 'ZERO' AS kind, b.o AS bo, n.o AS zo, n.c AS zc, greatest(b.h, n.h) AS peak, b.row + (b.h < n.h)::INT AS plateau_start, b.row + (n.h >= b.h)::INT AS plateau_end
-                 FROM b JOIN n USING (symbol, row) WHERE n.c <= b.o),
-        z AS (SELECT b.symbol, b.side, b.row, f.k, b.o AS bo, f.o AS zo, f.c AS zc, row_number() OVER (PARTITION BY b.symbol, b.row ORDER BY f.k) AS i FROM b JOIN n USING (symbol, row) JOIN f ON f.symbol = b.symbol AND f.row = b.row AND f.k BETWEEN 2 AND 6
-              WHERE n.c > b.o AND 3 * (b.c - f.c) >= b.c - b.o),
-        inner_ AS (SELECT z.symbol, z.row, f.k AS j, f.h, max(f.h) OVER (PARTITION BY z.symbol, z.row) AS peak FROM z JOIN f ON f.symbol = z.symbol AND f.row = z.row AND f.k BETWEEN 1 AND z.k - 1 WHERE i = 1),
-        lasts AS (SELECT symbol, row, any_value(peak) AS peak, max(j) FILTER (WHERE h = peak) AS le FROM inner_ GROUP BY ALL),
-        runs AS (SELECT symbol, row, coalesce(max(j) FILTER (WHERE h <> inner_.peak AND j < le), 0) AS gap FROM inner_ JOIN lasts USING (symbol, row) GROUP BY ALL),
-        both_ AS (SELECT * FROM zero UNION ALL SELECT z.symbol, side, z.row, k, 'NORMAL', bo, zo, zc, peak, z.row + gap + 1, z.row + le FROM z JOIN lasts USING (symbol, row) JOIN runs USING (symbol, row) WHERE i = 1)
-        SELECT symbol, side, row, k, kind, CASE WHEN kind = 'ZERO' AND zc >= zo THEN 'DIRECTION' WHEN (peak - bo) * 1000 < abs(bo) * 13 THEN 'OPEN_BOUNDARY' WHEN (peak - zc) * 1000 < abs(zc) * 13 THEN 'CLOSE_BOUNDARY' ELSE 'OK' END AS reason, abs(peak) / 100.0 AS price,
-        plateau_start, plateau_end, round((peak - bo) / abs(bo) * 100, 10) AS open_percent, round((peak - zc) / abs(zc) * 100, 10) AS close_percent, row + k AS close_row FROM both_""",
+    "touch_accepted": LEVELS + f""",
+        o AS (SELECT z.*, center, row_number() OVER (PARTITION BY z.timeframe ORDER BY z.touches DESC, z.episodes DESC, z.months DESC, z.close_inside DESC, z.bin) AS i FROM z JOIN peak USING (timeframe, bin)),
+        pick AS (SELECT DISTINCT timeframe, 0::BIGINT AS i, []::DOUBLE[] AS taken, NULL::BIGINT AS bin, false AS ok FROM o
+                 UNION ALL SELECT q.timeframe, q.i, CASE WHEN clash THEN taken ELSE list_append(taken, center) END, q.bin, NOT clash
+                 FROM (SELECT o.timeframe, o.i, o.bin, o.center, g.taken, len(list_filter(g.taken, lambda x: abs(x - o.center) / ((x + o.center) / 2) * 100 < 0.5)) > 0 AS clash FROM pick g JOIN o ON o.timeframe = g.timeframe AND o.i = g.i + 1) q),
+        u AS (SELECT timeframe, bin, row, close_time, count(*) OVER w AS n, count(*) FILTER (WHERE was IS NULL OR was <> row - 1) OVER w AS e, count(DISTINCT open_time::DATE) OVER w AS d FROM y WINDOW w AS (PARTITION BY timeframe, bin ORDER BY row)),
+        least_ AS (SELECT unnest(['1h', '4h', '1d']) AS timeframe, unnest([40, 20, 10]) AS need),
+        met AS (SELECT timeframe, bin, min(close_time) AS first_eligible FROM u JOIN least_ USING (timeframe) WHERE n >= need AND e >= 3 AND d >= 3 GROUP BY ALL),
+        good AS (SELECT o.*, first_eligible FROM o JOIN least_ USING (timeframe) JOIN pick USING (timeframe, bin) LEFT JOIN met USING (timeframe, bin) WHERE ok AND touches >= need AND episodes >= 3 AND dates >= 3),
+        scored AS (SELECT *, (close_inside + body) / touches AS engagement FROM good)
+        SELECT timeframe, timeframe || '-' || lpad(CAST(row_number() OVER (PARTITION BY timeframe ORDER BY center) AS VARCHAR), 6, '0') AS id,
+        row_number() OVER (PARTITION BY timeframe ORDER BY touches DESC, episodes DESC, months DESC, close_inside DESC, bin) AS rank, center, touches, {pct('touches')} AS touches_pct, {pct('episodes')} AS episodes_pct, {pct('months')} AS months_pct, {pct('engagement')} AS engagement_pct, first_eligible FROM scored""",
+    "special_30m": SPECIAL_30M + " SELECT * EXCLUDE (miss) FROM found",
+    "special_30m_outcomes": SPECIAL_30M + OUTCOMES,
+    "special_4h": SPECIAL_4H + " SELECT * EXCLUDE (miss) FROM found",
+    "special_4h_outcomes": SPECIAL_4H + OUTCOMES,
     "archive_plan": """WITH d AS (SELECT CAST(unnest(range(DATE '2024-12-01', DATE '2025-02-11', INTERVAL 1 DAY)) AS DATE) AS day), m AS (SELECT *, count(*) OVER (PARTITION BY date_trunc('month', day)) = day(last_day(day)) AS whole FROM d),
         p AS (SELECT DISTINCT CASE WHEN whole THEN 'monthly' ELSE 'daily' END AS kind, CASE WHEN whole THEN strftime(day, '%Y-%m') ELSE strftime(day, '%Y-%m-%d') END AS period, CASE WHEN day < DATE '2025-01-01' THEN 'ms' ELSE 'us' END AS unit FROM m)
         SELECT symbol, kind, period, unit FROM p CROSS JOIN (SELECT unnest(['BTCUSDT', 'ETHUSDT']) AS symbol)""",
