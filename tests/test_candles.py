@@ -368,6 +368,15 @@ def test_pivots_ties(spark):
     assert [r.row for r in features.pivots(numbered(spark, bars)).filter("side = 'HIGH'").collect()] == [6]
 
 
+def test_family_leader_closes_nearest_to_the_price_it_had_to_reach(spark):
+    columns = "symbol string, timeframe string, side string, row int, close_row int, price decimal(18,8), plateau_start int, plateau_end int, reason string, completion_error double, open_percent double, close_percent double"
+    one = lambda row, error, edge: ("ALL", "4h", "HIGH", row, row + 4, Decimal(9), 12, 12, "OK", error, edge, edge)
+    found = spark.createDataFrame([one(10, 0.5, 9.0), one(11, 0.25, 2.0), one(9, 0.25, 2.5), one(8, 0.25, 2.5)], columns)
+    roles = {r["row"]: r["family"] for r in special_swings.families(found).collect()}
+    # equal errors fall to the greater lesser boundary, equal boundaries to the earlier close
+    assert roles == {8: "PRIMARY", 9: "DERIVED", 10: "DERIVED", 11: "DERIVED"}
+
+
 def test_special_swing_suppression():
     s = lambda row, close, end: {"row": row, "close_row": close, "plateau_end": end, "key": (close - row, row)}
     assert special_swings.resolve([s(0, 9, 5), s(3, 10, 5), s(20, 27, 22)]) == {0: "LONGER", 1: "KEPT", 2: "KEPT"}

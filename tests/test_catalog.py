@@ -7,7 +7,7 @@ from candlewright.plans.sql import ORACLES
 
 duckdb = pytest.importorskip("duckdb")
 SF = "/root/testdata/sf0.001"
-FAST = ["ohlcv_1h", "fold_flags_by_symbol", "gap_ranges", "asof_1h_4h_close", "asof_1h_1d_open", "pivots_3_3", "open_liquidity_ranks", "order_block_events", "special_30m", "swing_formations", "conservation", "rank_percentiles"]
+FAST = ["ohlcv_1h", "fold_flags_by_symbol", "gap_ranges", "asof_1h_4h_close", "asof_1h_1d_open", "pivots_3_3", "open_liquidity_ranks", "order_block_events", "special_30m", "special_30m_outcomes", "special_4h_outcomes", "swing_formations", "conservation", "rank_percentiles"]
 
 
 def show(row):
