@@ -95,6 +95,11 @@ def mechanism_counts(found: DataFrame) -> DataFrame:
     return found.filter("mechanism IS NOT NULL").groupBy(*SERIES, "side", "mechanism").count()
 
 
+def relative(a: float, b: float) -> float:
+    """|a - b| in percent of their midpoint; equal prices, two zeros included, are 0 apart."""
+    return abs(a - b) / ((a + b) / 2) * 100 if a != b else 0.0
+
+
 def attach(levels: list[dict]) -> list[list[int]]:
     """Groups of open levels of one side: indices of members, the anchor first.
 
@@ -104,7 +109,6 @@ def attach(levels: list[dict]) -> list[list[int]]:
     """
     leader: dict[int, int] = {}
     groups: dict[int, list[int]] = {}
-    relative = lambda a, b: abs(a - b) / ((a + b) / 2) * 100
     for p, parent_tf in enumerate(SLOTS):
         own = [i for i, x in enumerate(levels) if x["timeframe"] == parent_tf and i not in leader]
         for i in own:
@@ -149,7 +153,7 @@ def hierarchy(ranked: DataFrame) -> DataFrame:
             slots = tuple(s for s in SLOTS if any(x["timeframe"] == s for x in group))
             prices = sorted(x["price"] for x in group)
             mid = (prices[0] + prices[-1]) / 2
-            out.append({"tier": TIERS[slots], "slots": ",".join(slots), "members": ",".join(x["id"] for x in group), "price": mid, "span_percent": (prices[-1] - prices[0]) / mid * 100, "distance": abs(mid - finest), "observed_hours": max(x["future_bars"] * HOURS[x["timeframe"]] for x in group), "oldest": min(x["opened"] for x in group)})
+            out.append({"tier": TIERS[slots], "slots": ",".join(slots), "members": ",".join(x["id"] for x in group), "price": mid, "span_percent": relative(prices[0], prices[-1]), "distance": abs(mid - finest), "observed_hours": max(x["future_bars"] * HOURS[x["timeframe"]] for x in group), "oldest": min(x["opened"] for x in group)})
         out.sort(key=lambda g: (g["tier"], g["distance"], -g["observed_hours"], g["oldest"], g["price"]))
         frame = pd.DataFrame(out, columns=["tier", "slots", "members", "price", "span_percent", "distance", "observed_hours", "oldest"])
         frame.insert(0, "rank", range(1, len(frame) + 1))

@@ -492,3 +492,16 @@ def test_audits_see_broken_results(spark):
     assert any(r.failures for r in audits.swing_audit(s.withColumn("side", F.lit("HIGH"))).collect())
     stats = price_touch.level_stats(price_touch.touches(rows, price_touch.peaks(rows)))
     assert {r.failures for r in audits.touch_audit(stats).collect()} == {0}
+
+
+def test_groups_of_levels_at_price_zero(spark):
+    """Three timeframes whose lowest low is zero: relative distances of zeros are 0, and the three are one group."""
+    bars = [(5, 6, 4, 5), (5, 6, 0, 5), (5, 7, 3, 6), (6, 8, 5, 7)]
+    rows = None
+    for tf in ("1h", "4h", "1d"):
+        own = numbered(spark, bars, tf)
+        rows = own if rows is None else rows.unionByName(own)
+    found = open_liquidity.hierarchy(open_liquidity.ranked_open(open_liquidity.candidates(rows))).filter("side = 'LOW'").orderBy("rank").collect()
+    zero = [r for r in found if r.price == 0]
+    assert [(r.tier, r.slots, r.span_percent, r.members) for r in zero] == [(1, "1d,4h,1h", 0.0, "1d-LOW-00000001,4h-LOW-00000001,1h-LOW-00000001")]
+    assert sum(len(r.members.split(",")) for r in found) == 6
