@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,8 +15,6 @@ from candlewright.operators.features import series, with_rolling
 from candlewright.sources.scratch import settled
 
 DISPLACEMENT = "1.00"
-#: Width of a band of price, as a logarithm.
-BAND = 0.01
 #: What becomes of a pair, apart from its side's two outcomes.
 ORIGIN_DOJI, IMPULSE_DOJI, SAME_DIRECTION = "REJECTED_ORIGIN_DOJI", "REJECTED_IMPULSE_DOJI", "REJECTED_SAME_DIRECTION"
 QUALIFIED = {"BULLISH": "QUALIFIED_BULLISH_ORDER_BLOCK", "BEARISH": "QUALIFIED_BEARISH_ORDER_BLOCK"}
@@ -52,7 +52,8 @@ def blocks(numbered: DataFrame, displacement: str = DISPLACEMENT) -> DataFrame:
     rows = rows.join(rolled.withColumnRenamed("row", "impulse_row"), [*SERIES, "impulse_row"])
     up = F.col("side") == "BULLISH"
     body, impulse = bars.body().cast("double"), F.abs(F.col("n.close") - F.col("n.open")).cast("double")
-    percent = F.col("moved").cast("double") / F.col("open").cast("double") * 100
+    # a pair from zero to zero qualifies, with an undefined percentage
+    percent = F.when(F.col("open") == 0, float("nan")).otherwise(F.col("moved").cast("double") / F.col("open").cast("double") * 100)
     broke = F.coalesce(F.when(up, F.col("n.close") > F.col("highest_close")).otherwise(F.col("n.close") < F.col("lowest_close")), F.lit(False))
     ratio20 = F.when(F.col("median_body") > 0, impulse / F.col("median_body"))
     ratio = F.when(body > 0, impulse / body)
@@ -93,35 +94,65 @@ def level_of_half(up, half):
     return F.when(up, -F.floor(units)).otherwise(F.ceil(units)).cast("bigint")
 
 
-def meetings(candles: DataFrame, b: DataFrame) -> DataFrame:
-    """(block_id, row, touch): every later candle whose range meets the zone, found by shared thousandth bands of price."""
-    band = lambda x: F.floor(F.log(x.cast("double")) / BAND)
-    spans = lambda lo, hi: F.explode(F.sequence(band(lo) - 1, band(hi) + 1))
-    zones = b.select(*SERIES, "block_id", "impulse_row", "zone_lower", "zone_upper", spans(F.col("zone_lower"), F.col("zone_upper")).alias("band"))
-    rows = candles.select(*SERIES, "row", "open", "high", "low", "close", spans(F.col("low"), F.col("high")).alias("band"))
-    met = zones.join(rows, [*SERIES, "band"]).filter(F.col("row") > F.col("impulse_row")).filter(bars.touches(F.col("zone_lower"), F.col("zone_upper")))
-    # a pair that shares several bands counts in the first of them
-    first = F.greatest(band(F.col("zone_lower")) - 1, band(F.col("low")) - 1)
-    return met.filter(F.col("band") == first).select(*SERIES, "block_id", "row", bars.body_touches(F.col("zone_lower"), F.col("zone_upper")).alias("touch"))
+def touches(candles: DataFrame, b: DataFrame, piece: int = crossing.PIECE, share: int = 1 << 18) -> DataFrame:
+    """(block key, touch_row, touch_bars, touch_episodes, wick_only_row, wick_only_bars) of blocks that later candles meet.
+
+    A series is cut into pieces of ``piece`` rows. A block is compared with the candles of those pieces alone whose prices meet
+    its zone, and brings one row from each, whatever the prices are; an episode that goes on into the next piece counts once.
+    A task holds a piece and the blocks of ``share`` rows.
+    """
+    key, group = [*SERIES, "block_id"], [*SERIES, "piece", "part"]
+    scaled = lambda x: crossing.scaled(x).alias
+    own = lambda x: F.floor(x / piece).cast("bigint")
+    rows = candles.select(*SERIES, own(F.col("row")).alias("piece"), "row", scaled(F.col("low"))("low"), scaled(F.col("high"))("high"), scaled(bars.body_low())("body_low"), scaled(bars.body_high())("body_high"))
+    ranges = rows.groupBy(*SERIES, "piece").agg(F.min("low").alias("bottom"), F.max("high").alias("top"))
+    zones = b.select(*key, F.col("impulse_row").cast("bigint").alias("after"), F.floor(F.col("block_row") / share).cast("bigint").alias("part"), scaled(F.col("zone_lower"))("lower"), scaled(F.col("zone_upper"))("upper"))
+    zones = zones.join(F.broadcast(ranges), SERIES).filter((F.col("piece") >= own(F.col("after") + 1)) & (F.col("lower") <= F.col("top")) & (F.col("upper") >= F.col("bottom"))).drop("top", "bottom")
+    zones = settled(zones, "zones")
+    counts = "touch_row bigint, touch_bars bigint, touch_episodes bigint, head_row bigint, tail_row bigint, wick_only_row bigint, wick_only_bars bigint"
+    wanted = zones.select(*group).distinct().toDF(*group)
+    met = rows.join(wanted, [*SERIES, "piece"]).groupBy(*group).cogroup(zones.groupBy(*group)).applyInArrow(in_piece, f"symbol string, timeframe string, block_id bigint, piece bigint, {counts}")
+    goes_on = F.col("head_row") == F.lag("tail_row").over(Window.partitionBy(*key).orderBy("piece")) + 1
+    sums = [*(F.min(c).alias(c) for c in ("touch_row", "wick_only_row")), *(F.sum(c).alias(c) for c in ("touch_bars", "wick_only_bars"))]
+    return met.withColumn("goes_on", goes_on).groupBy(*key).agg(*sums, (F.sum("touch_episodes") - F.count_if("goes_on")).alias("touch_episodes"))
+
+
+def in_piece(candles: pa.Table, zones: pa.Table) -> pa.Table:
+    """A row for each zone: first rows and counts of its touches in one piece, and the piece's first and last row where touched."""
+    candles = candles.sort_by("row")
+    row, low, high, body_low, body_high = (candles.column(c).to_numpy() for c in ("row", "low", "high", "body_low", "body_high"))
+    next_to = np.diff(row) == 1
+    found: dict[str, list] = {f: [] for f in ("touch_row", "touch_bars", "touch_episodes", "head_row", "tail_row", "wick_only_row", "wick_only_bars")}
+    put = lambda name, values, there=None: found[name].append(pa.array(values, pa.int64(), mask=None if there is None else ~there))
+    for lo in range(0, zones.num_rows, 256):
+        after, lower, upper = (zones.column(c).slice(lo, 256).to_numpy()[:, None] for c in ("after", "lower", "upper"))
+        met = (row > after) & (high >= lower) & (low <= upper)
+        touch = met & (body_high >= lower) & (body_low <= upper)
+        wick = met & ~touch
+        put("touch_row", row[touch.argmax(1)], touch.any(1))
+        put("touch_bars", touch.sum(1))
+        put("touch_episodes", touch.sum(1) - (touch[:, 1:] & touch[:, :-1] & next_to).sum(1))
+        put("head_row", np.full(len(touch), row[0]), touch[:, 0])
+        put("tail_row", np.full(len(touch), row[-1]), touch[:, -1])
+        put("wick_only_row", row[wick.argmax(1)], wick.any(1))
+        put("wick_only_bars", wick.sum(1))
+    columns = {c: zones.column(c) for c in (*SERIES, "block_id", "piece")} | {c: pa.chunked_array(x, pa.int64()) for c, x in found.items()}
+    return pa.table(columns)
 
 
 def lifecycle(numbered: DataFrame, found: DataFrame) -> DataFrame:
     """Blocks with the first later rows of each event, touch episodes, status and excursions.
 
-    Later means after the impulse. Events by price are searched in pieces (``crossing.first_hits``), touches are joined by bands
-    of price, and excursions are greatest values between two rows, so no step pairs a block with all later candles.
+    Later means after the impulse. Events by price are searched in pieces (``crossing.first_hits``), touches are counted in the
+    pieces whose prices meet the zone, and excursions are greatest values between two rows, so no step makes a row of each
+    block and later candle.
     """
     candles = settled(numbered.select(*SERIES, F.col("row").cast("bigint").alias("row"), "open", "high", "low", "close"), "life")
     # a block is known by its row and side, folded into one number
     b = settled(found.withColumn("block_row", F.col("row").cast("bigint")).withColumn("block_id", F.col("row").cast("bigint") * 2 + (F.col("side") == "BULLISH").cast("int")), "blocks")
     key = [*SERIES, "block_id"]
-    met = meetings(candles, b)
-    touched = met.filter("touch")
-    episode = F.lag("row").over(Window.partitionBy(*key).orderBy("row"))
-    touched = touched.withColumn("starts", F.coalesce(episode != F.col("row") - 1, F.lit(True))).groupBy(*key).agg(F.min("row").alias("touch_row"), F.count(F.lit(1)).alias("touch_bars"), F.count_if("starts").alias("touch_episodes"))
-    wicks = met.filter("NOT touch").groupBy(*key).agg(F.min("row").alias("wick_only_row"), F.count(F.lit(1)).alias("wick_only_bars"))
     ends = candles.groupBy(*SERIES).agg(F.max("row").alias("last_row"))
-    all_ = b.join(ends, SERIES).join(firsts(candles, b), key, "left").join(touched, key, "left").join(wicks, key, "left")
+    all_ = b.join(ends, SERIES).join(firsts(candles, b), key, "left").join(touches(candles, b), key, "left")
     later = F.col("last_row") - F.col("impulse_row")
     all_ = all_.withColumns({"later_bars": F.when(later > 0, later), **{c: F.when(later > 0, F.coalesce(F.col(c), F.lit(0))) for c in ("touch_bars", "touch_episodes", "wick_only_bars")}})
     all_ = settled(all_, "lived")

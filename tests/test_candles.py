@@ -505,3 +505,47 @@ def test_groups_of_levels_at_price_zero(spark):
     zero = [r for r in found if r.price == 0]
     assert [(r.tier, r.slots, r.span_percent, r.members) for r in zero] == [(1, "1d,4h,1h", 0.0, "1d-LOW-00000001,4h-LOW-00000001,1h-LOW-00000001")]
     assert sum(len(r.members.split(",")) for r in found) == 6
+
+
+def zero_walk(n, seed):
+    """Bars of whole prices between 0 and 6, many of them zero."""
+    r, out = random.Random(seed), []
+    for _ in range(n):
+        o, c = r.choice((0, 0, 1, 2, 3, 5)), r.choice((0, 0, 1, 2, 4, 6))
+        out.append((o, max(o, c) + r.choice((0, 1)), max(0, min(o, c) - r.choice((0, 1))), c))
+    return out
+
+
+def met_later(bars, after, lo, hi):
+    """By comparison with every later candle: first touch, touches, episodes, first wick and wicks of a zone."""
+    body = [max(o, c) >= lo and min(o, c) <= hi for o, _, _, c in bars]
+    wick = [h >= lo and low <= hi and not b for (_, h, low, _), b in zip(bars, body)]
+    later = range(after + 1, len(bars))
+    touched, wicked = [i for i in later if body[i]], [i for i in later if wick[i]]
+    return next(iter(touched), None), len(touched), sum(i - 1 not in touched for i in touched), next(iter(wicked), None), len(wicked)
+
+
+def test_lifecycle_of_blocks_at_price_zero(spark):
+    """Touches of zones and candles that reach zero count; a pair of candles from zero to zero is a block of undefined percentage."""
+    bars = [*zero_walk(120, 3), (0, 2, 0, 2), (1, 1, 0, 0), *zero_walk(20, 4)]
+    rows = numbered(spark, bars, "4h").localCheckpoint()
+    blocks = order_block.blocks(rows)
+    got = {(r.block_row, r.side): r for r in order_block.lifecycle(rows, blocks).collect()}
+    assert any(r.zone_lower == 0 for r in got.values())
+    assert math.isnan(got[120, "BEARISH"].displacement_percent)
+    for r in got.values():
+        want = met_later(bars, r.impulse_row, r.zone_lower, r.zone_upper)
+        if r.later_bars:
+            assert (r.touch_row, r.touch_bars, r.touch_episodes, r.wick_only_row, r.wick_only_bars) == want
+
+
+@pytest.mark.parametrize(("piece", "share"), [(4, 8), (7, 1000), (1000, 1000)])
+def test_touches_in_pieces_match_brute_force(spark, piece, share):
+    bars = [*zero_walk(40, 5), *[(50, 51, 49, 50)] * 9, *zero_walk(30, 6)]
+    rows = numbered(spark, bars, "4h").withColumn("row", F.col("row").cast("bigint")).localCheckpoint()
+    r = random.Random(7)
+    zones = [(i, r.randrange(len(bars)), *sorted(r.choice(((0, 0), (0, 1), (2, 3), (6, 8), (49, 50), (20, 60))))) for i in range(60)]
+    b = spark.createDataFrame([("X", "4h", i, at, at + 1, Decimal(lo), Decimal(hi)) for i, at, lo, hi in zones], "symbol string, timeframe string, block_id bigint, block_row bigint, impulse_row bigint, zone_lower decimal(18,8), zone_upper decimal(18,8)")
+    got = {x.block_id: (x.touch_row, x.touch_bars, x.touch_episodes, x.wick_only_row, x.wick_only_bars) for x in order_block.touches(rows, b, piece, share).collect()}
+    for i, at, lo, hi in zones:
+        assert got.get(i, (None, 0, 0, None, 0)) == met_later(bars, at + 1, lo, hi)
