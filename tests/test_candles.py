@@ -549,3 +549,12 @@ def test_touches_in_pieces_match_brute_force(spark, piece, share):
     got = {x.block_id: (x.touch_row, x.touch_bars, x.touch_episodes, x.wick_only_row, x.wick_only_bars) for x in order_block.touches(rows, b, piece, share).collect()}
     for i, at, lo, hi in zones:
         assert got.get(i, (None, 0, 0, None, 0)) == met_later(bars, at + 1, lo, hi)
+
+
+def test_events_of_blocks_at_price_zero(spark):
+    """First touches and first wicks of zones that candles with a low of zero meet."""
+    bars = [(10, 10, 8, 8), (8, 12, 8, 12), (12, 12, 0, 11), (9, 9, 0, 9), (7, 7, 0, 0), (20, 20, 10, 20), (0, 1, 0, 1)]
+    rows = numbered(spark, bars, "4h").localCheckpoint()
+    lived = order_block.lifecycle(rows, order_block.blocks(rows))
+    got = [(r.event, r.row) for r in order_block.events(lived).filter("block_row = 0").orderBy("sequence").collect()]
+    assert got == [("wick_only", 2), ("touch", 3), ("midpoint", 3), ("gap", 4), ("full", 4), ("invalid", 4)]
