@@ -73,6 +73,17 @@ def ascii_lower(col):
     return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, UPPER.lower()))
 
 
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Let Spark hand texts to Python in Arrow batches of ``size``, if the session sets no size of its own.
+
+    By default a batch is up to 64 MB, so all texts of a task are one: a buffer in the JVM, its copy in the worker and the
+    strings made of it are there at once, for each core.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, size)
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

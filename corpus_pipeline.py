@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewright.llm.bpe import encode_documents
-from candlewright.llm.common import written
+from candlewright.llm.common import small_batches, written
 from candlewright.llm.exact_dedup import without_copies
 from candlewright.llm.mixing import mix
 from candlewright.llm.near_copies import without_near_copies
@@ -19,6 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null, empty and short texts go; repeated rows and ids are judged row by row; a null language is a stratum of its own.
     """
+    small_batches(spark)
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -35,6 +36,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts without words are copies of each other; null ids rank last; rows go one by one.
     """
+    small_batches(spark)
     return without_near_copies(docs)
 
 
@@ -45,6 +47,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per row doc_id, n_tokens and digests of its ids and of the text decoded from them; a null text is empty."""
+    small_batches(spark)
     return encode_documents(docs, tokenizer_path(), memo=80_000)
 
 

@@ -1,6 +1,8 @@
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from candlewright.llm import queries
@@ -73,3 +75,21 @@ def test_every_stage_survives_odd_rows(spark, name):
 def test_every_query_is_registered():
     names = set(queries.queries())
     assert {int(n.split("_")[0][2:]) for n in names} == set(range(1, 11)) and set(queries.ORACLES) < names
+
+def test_stages_hand_texts_to_python_in_small_batches(spark):
+    """All 20 MB of texts of one task used to be one batch, in the JVM and in the worker at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 10_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    most = lambda: docs.mapInArrow(sizes, "n bigint").agg(F.max("n")).first()[0]
+    spark.conf.unset(key)
+    corpus_pipeline.tokens(spark, docs, "")
+    assert most() < 5_000_000
+    spark.conf.set(key, "1m")
+    corpus_pipeline.tokens(spark, docs, "")  # a session's own size stays
+    assert most() < 1_500_000
+    spark.conf.unset(key)
