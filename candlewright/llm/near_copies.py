@@ -5,13 +5,18 @@ Texts are sets of word shingles; equal sets are one *node*. Two sets of similari
 * differ in at most (1 - s) / (1 + s) of their joint size, so their parity maps (bit i is 1 if an odd number of
   shingles end in i) differ in no more bits, and
 * share one of their first n - ceil(s n) + 1 shingles in any order common to all texts (prefix filter). The order is by
-  hash, shingles that are common in a sample last: any sample gives the same links, it only keeps widespread lines out.
+  hash, shingles that are common in a sample last: any sample gives the same links, it only keeps widespread lines out. And
+* at the first one they share, at places i and j from 0, have no more than the lesser of n - i and m - j in common (positional
+  filter). As a copy's own shingles come before those of its group, one that is too far from the group's origin to be
+  linked to it meets nobody.
 
 1. *First links*: fingerprints within a few bits, from the vantage-point trees of ``simhash``, and for each of a node's
-   first keys the pair with one leader of all nodes of that key and size class. Pairs are checked, by wide parity maps and
-   then by their sets, and give components. A group of copies, however large, is all but one component after that.
+   first shared keys the pair with one leader drawn from all nodes of that key and size class; for each of its keys the pair
+   with the hub, the node there with the most shared keys, which of a text and its edited copies is the text. Pairs are
+   checked, by wide parity maps and then by their sets, and give components. A group of copies, however large, is all but
+   one component after that.
 2. *Completion*: of the nodes that share a key, only those outside the key's main component meet others: all pairs of
-   different components that both bounds allow are checked in the same way.
+   different components that all bounds allow are checked in the same way.
 
 A pair of similarity s is in one component after step 1 or is checked in step 2, so the components are those of all
 pairs at s or more. No step gathers a group in one task, or makes pairs inside a component. Step 2 is quadratic only in nodes
@@ -27,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import staying, written
 from .components import connected_components
@@ -35,7 +41,7 @@ from .simhash import fingerprint, fingerprint_links, shingle_hashes
 
 MAPS = ("m0", "m1", "m2", "m3")
 ROUNDING = 1e-9
-#: So many keys of each node are used for first links.
+#: So many shared keys of each node are used for first links with drawn leaders.
 FIRST_KEYS = 16
 
 
@@ -78,6 +84,12 @@ def possible(a: str, b: str, similarity: float) -> Column:
     return close(apart, F.col(f"{a}.size"), F.col(f"{b}.size"), similarity)
 
 
+def in_place(a: str, b: str, similarity: float) -> Column:
+    """Whether sets that share no key before this one may reach the similarity."""
+    rest = F.least(F.col(f"{a}.size") - F.col(f"{a}.place"), F.col(f"{b}.size") - F.col(f"{b}.place"))
+    return rest * (1 + similarity) >= similarity * (F.col(f"{a}.size") + F.col(f"{b}.size")) - ROUNDING
+
+
 def wide_apart(a: Column, b: Column) -> Column:
     """Bits that differ between two wide maps; the longer is folded once (sizes that may match are less than a factor of two apart)."""
     half = lambda x, y: F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, F.lit(1), F.size(y)), F.slice(x, F.size(y) + 1, F.size(y)), lambda p, q: p.bitwiseXOR(q))).otherwise(x)
@@ -89,15 +101,20 @@ def size_class(size: Column, similarity: float) -> Column:
     return F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / -math.log(similarity - ROUNDING)).cast("int")
 
 
-def common_shingles(docs: DataFrame, words: int, seed: int, sample_rows: int, least: int = 6, most: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in ``least`` or more of about ``sample_rows`` texts, by hash, and their rank; the more texts, the higher."""
+def common_shingles(docs: DataFrame, words: int, seed: int, sample_rows: int, share: float = 1 / 8, least: int = 3, most: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in ``least`` or more of a sample of texts, by hash, and their rank; the more texts, the higher.
+
+    The sample is about ``share`` of the texts, ``sample_rows`` at least, so that a shingle of a given number of texts is found
+    in any table: with a sample of fixed size the groups of shingles that it misses would grow with the table.
+    """
 
     def run(batches):
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, words, seed).view(np.int64))], names=["shingle"])
 
-    sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count()))) < sample_rows).select("text")
+    rows = docs.count()
+    sample = docs.filter(F.pmod(F.xxhash64("text"), F.lit(max(1, rows))) < max(sample_rows, math.ceil(share * rows))).select("text")
     counts = sample.mapInArrow(run, "shingle bigint").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
     found = counts.orderBy(F.desc("n"), "shingle").limit(most).toPandas()
     common = found["shingle"].to_numpy(np.int64).view(np.uint64)
@@ -170,28 +187,31 @@ def ordered(pairs: DataFrame) -> DataFrame:
 
 
 def first_pairs(nodes: DataFrame, keyed: DataFrame, similarity: float, within: int) -> DataFrame:
-    """(u, v): links of fingerprints, and each node with the leader of its size class under its first keys."""
+    """(u, v): links of fingerprints, and each node with the leaders of its size class: under its first keys one drawn, under all the hub."""
     prints = written(nodes.groupBy("fp").agg(F.min("node").alias("node")), "near-prints")
     links = fingerprint_links(prints.select("fp"), within)
     near = links.join(prints.toDF("a", "u"), "a").join(prints.toDF("b", "v"), "b").select("u", "v")
     same = nodes.join(prints.withColumnRenamed("node", "v"), "fp").select(F.col("node").alias("u"), "v")
-    early = keyed.filter(F.col("place") < FIRST_KEYS).withColumn("class", size_class(F.col("size"), similarity))
-    own = F.struct(F.xxhash64("key", "node").alias("draw"), "node", "size", *MAPS)
-    leaders = early.groupBy("key", "class").agg(F.min(own).alias("x"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "class", "x")
-    led = early.select("key", "class", F.struct("node", "size", *MAPS).alias("y")).join(leaders, ["key", "class"]).filter(possible("x", "y", similarity))
-    return ordered(near.unionByName(same).unionByName(led.select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))))
+    rows = keyed.withColumn("class", size_class(F.col("size"), similarity)).withColumn("draw", F.xxhash64("key", "node"))
+    own = F.struct("node", "size", *MAPS)
+    led = []
+    for some, best in ((rows.filter(F.col("nth") <= FIRST_KEYS), "draw"), (rows, "shares")):
+        leaders = some.groupBy("key", "class").agg(F.max_by(own, F.struct(best, "node")).alias("x"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "class", "x")
+        met = some.select("key", "class", own.alias("y")).join(leaders, ["key", "class"]).filter(possible("x", "y", similarity))
+        led.append(met.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")))
+    return ordered(near.unionByName(same).unionByName(led[0]).unionByName(led[1]))
 
 
 def open_pairs(keyed: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """(u, v): nodes of different components that share a key and may reach the similarity."""
     rows = keyed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = written(rows.select("key", "root", size_class(F.col("size"), similarity).alias("class"), F.struct("node", "root", "size", *MAPS).alias("x")), "near-open")
+    rows = written(rows.select("key", "root", size_class(F.col("size"), similarity).alias("class"), F.struct("node", "root", "size", "place", *MAPS).alias("x")), "near-open")
     parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", F.col("main.root").alias("main"))
     some = written(rows.join(main, "key"), "near-some")
     strays = some.filter("root <> main").select("key", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).alias("class"), F.col("x").alias("y"))
     met = strays.join(some.select("key", "class", "x", (F.col("root") == F.col("main")).alias("in_main")), ["key", "class"])
-    return ordered(met.filter(F.col("in_main") | (F.col("x.node") > F.col("y.node"))).filter("x.root <> y.root").filter(possible("x", "y", similarity)).select(F.col("x.node").alias("u"), F.col("y.node").alias("v")))
+    return ordered(met.filter(F.col("in_main") | (F.col("x.node") > F.col("y.node"))).filter("x.root <> y.root").filter(in_place("x", "y", similarity)).filter(possible("x", "y", similarity)).select(F.col("x.node").alias("u"), F.col("y.node").alias("v")))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, within: int = 3, seed: int = 42, sample_rows: int = 10_000) -> DataFrame:
@@ -212,7 +232,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = nodes.select("node", F.posexplode("keys").alias("place", "key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     keyed = keys.join(shared, "key").join(nodes.select("node", "size", *MAPS), "node")
-    keyed = written(keyed.select("key", "place", "node", "size", *MAPS), "near-keys")
+    own = Window.partitionBy("node")
+    keyed = keyed.withColumns({"nth": F.row_number().over(own.orderBy("place")), "shares": F.count(F.lit(1)).over(own)})
+    keyed = written(keyed.select("key", "place", "nth", "shares", "node", "size", *MAPS), "near-keys")
     checker = Checker(texts, nodes, words, similarity, seed)
     links = checker.check(first_pairs(nodes, keyed, similarity, within))
     roots = written(connected_components(links, "u", "v"), "near-first")

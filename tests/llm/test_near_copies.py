@@ -82,3 +82,26 @@ def test_one_large_group_of_distinct_near_copies(spark):
         rows.append((i, " ".join(words), "en", "s"))
     got = near_copies(documents(spark, rows)).collect()
     assert len(got) == 1500 and {x.component_id for x in got} == {0} and sum(x.kept for x in got) == 1
+
+
+def test_edited_copies_that_are_too_far_from_each_other_are_hardly_paired(spark, monkeypatch):
+    r = random.Random(5)
+    base = [f"w{r.randrange(9000)}" for _ in range(400)]
+    rows = [(0, " ".join(base), "en", "s")]
+    for i in range(1, 400):
+        words = list(base)
+        for k in r.sample(range(400), r.randint(2, 20)):
+            words[k] = f"x{r.randrange(900000)}"
+        rows.append((i, " ".join(words), "en", "s"))
+    made = []
+    monkeypatch.setattr(module, "open_pairs", lambda *a, f=module.open_pairs: made.append(f(*a)) or made[0])
+    got = {x.doc_id: x.component_id for x in near_copies(documents(spark, rows)).collect()}
+    sets = [shingles(t) for _, t, *_ in rows]
+    group, more = {0}, [0]
+    while more:
+        a = more.pop()
+        met = {b for b in range(len(rows)) if b not in group and similar(sets[a], sets[b])}
+        group |= met
+        more += met
+    assert got == dict.fromkeys(group, 0) and 100 < len(group) < 350
+    assert made[0].count() < len(rows)
