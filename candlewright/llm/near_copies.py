@@ -7,8 +7,8 @@ Texts are sets of word shingles; equal sets are one *node*. Two sets of similari
 * share one of their first n - ceil(s n) + 1 shingles in any order common to all texts (prefix filter). The order is by
   hash, shingles that are common in a sample last: any sample gives the same links, it only keeps widespread lines out. And
 * at the first one they share, at places i and j from 0, have no more than the lesser of n - i and m - j in common (positional
-  filter). As a copy's own shingles come before those of its group, one that is too far from the group's origin to be
-  linked to it meets nobody.
+  filter). Where the sample shows a group's shingles as common, a copy's own come before them, so one that is too far from
+  the group's origin to be linked to it meets nobody.
 
 1. *First links*: fingerprints within a few bits, from the vantage-point trees of ``simhash``, and for each of a node's
    first shared keys the pair with one leader drawn from all nodes of that key and size class; for each of its keys the pair
